@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions import exact_mean, percent_of
+from tickloom.functions import as_instant, exact_mean, percent_of
 from tickloom.schema import WATERMARK_DELAY, WINDOW_WIDTH
 
 WINDOW_KEY = ("symbol", "window_start", "window_end")
@@ -37,15 +39,22 @@ def per_window(ticks: DataFrame, width: str, delay: str, *aggregates: Column) ->
 
 
 def windowed_stats(
-    ticks: DataFrame, width: str = WINDOW_WIDTH, delay: str = WATERMARK_DELAY
+    ticks: DataFrame,
+    width: str = WINDOW_WIDTH,
+    delay: str = WATERMARK_DELAY,
+    since: datetime | Column | None = None,
 ) -> DataFrame:
     """All figures of a window in one pass; bars, stats and alerts are cut from it.
 
     ``volatility`` is the price range in percent of the mean price, null where
-    that mean is zero. ``delay`` counts for streams only.
+    that mean is zero. ``delay`` counts for streams only. ``since`` leaves out
+    windows that end before it, and lets the scan skip their ticks.
     """
+    if since is not None:
+        since = as_instant(since, ticks.schema["timestamp"].dataType)
+        ticks = ticks.where(F.col("timestamp") >= since - F.expr(f"INTERVAL {width}"))
     spread = F.col("high") - F.col("low")
-    return per_window(
+    stats = per_window(
         ticks,
         width,
         delay,
@@ -62,6 +71,7 @@ def windowed_stats(
         spread.alias("price_range"),
         percent_of(spread, F.col("ma")).alias("volatility"),
     )
+    return stats if since is None else stats.where(F.col("window_end") >= since)
 
 
 def price_bars(stats: DataFrame) -> DataFrame:

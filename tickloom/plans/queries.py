@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import operators as op
@@ -20,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 SYMBOL = "view"
+HOUR = timedelta(hours=1)
 DAY = timedelta(days=1)
 ONCE = {"availableNow": True}
 
@@ -55,9 +56,23 @@ def stats(spark: SparkSession, folder: str, width: str = "5 minutes") -> DataFra
     return op.windowed_stats(ticks(spark, folder), width)
 
 
-def newest(spark: SparkSession, folder: str) -> Column:
-    """The time of the newest tick, standing in for now: a scalar subquery."""
-    return ticks(spark, folder).agg(F.max("timestamp")).scalar()
+def newest(spark: SparkSession, folder: str) -> datetime:
+    """The time of the newest tick, standing in for now.
+
+    One value read ahead: as a literal, both ends of a time range reach the scan.
+    """
+    return ticks(spark, folder).agg(F.max("timestamp")).first()[0]
+
+
+def stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows written to the shared folder and read back, for use more than once."""
+    path = f"{run_folder(spark)}/rows"
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def alerts_since(spark: SparkSession, folder: str, since: datetime) -> DataFrame:
+    return op.detect_alerts(op.windowed_stats(ticks(spark, folder), since=since))
 
 
 def naive(rows: DataFrame) -> DataFrame:
@@ -90,7 +105,7 @@ def volume_alerts(spark, folder):
 
 @query("alerts_5m", width="5 minutes")
 @query("alerts_1h", width="1 hour")
-def alerts(spark, folder, width="5 minutes"):
+def alerts(spark, folder, width):
     return op.detect_alerts(stats(spark, folder, width))
 
 
@@ -112,17 +127,20 @@ def price_history(spark, folder, choice):
     return op.price_history(ticks(spark, folder), SYMBOL, choice, newest(spark, folder))
 
 
-@query("recent_alerts", within=timedelta(hours=1))
+@query("recent_alerts", within=HOUR)
 @query("recent_alerts_1day", within=DAY)
 def recent_alerts(spark, folder, within):
-    return op.recent_alerts(alerts(spark, folder), SYMBOL, newest(spark, folder), within)
+    as_of = newest(spark, folder)
+    found = alerts_since(spark, folder, as_of - within)
+    return op.recent_alerts(found, SYMBOL, as_of, within)
 
 
-@query("alert_feed", within=timedelta(hours=1))
+@query("alert_feed", within=HOUR)
 @query("alert_feed_1day", within=DAY)
 def alert_feed(spark, folder, within):
-    stored, _ = op.conform(alerts(spark, folder), ALERTS)
-    return op.alert_feed(stored, SYMBOL, newest(spark, folder), within)
+    as_of = newest(spark, folder)
+    fitting, _ = op.conform(alerts_since(spark, folder, as_of - within), ALERTS)
+    return op.alert_feed(fitting, SYMBOL, as_of, within)
 
 
 @query("decode_ticks")
@@ -155,7 +173,7 @@ def conform_price_stats(spark, folder):
 
 @query("conform_alerts")
 def conform_alerts(spark, folder):
-    return op.conform(alerts(spark, folder), ALERTS)[0]
+    return op.conform(op.detect_alerts(stats(spark, folder)), ALERTS)[0]
 
 
 @query("conform_price_bars")
@@ -165,12 +183,12 @@ def conform_price_bars(spark, folder):
 
 @query("rsi_1h")
 def rsi(spark, folder):
-    return op.rsi(op.closes(ticks(spark, folder), "1 hour"))
+    return op.rsi(stored(spark, op.closes(ticks(spark, folder), "1 hour")))
 
 
 @query("trend_1h")
 def trend(spark, folder):
-    return op.trend(op.closes(ticks(spark, folder), "1 hour"))
+    return op.trend(stored(spark, op.closes(ticks(spark, folder), "1 hour")))
 
 
 def drain(spark, stream, columns, mode="append") -> DataFrame:
