@@ -32,7 +32,12 @@ def _reason() -> Column:
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Tick fields next to the message ``value`` and a ``reason``, one row each."""
+    """Tick fields next to the message ``value`` and a ``reason``, one row each.
+
+    The record is spread by ``inline`` rather than by ``data.*``: later filters
+    cannot be moved below a generator, where they would parse the message again
+    for every field they look at.
+    """
     record = F.from_json(
         F.col("value"),
         f"{TICK_DDL}, {_BROKEN} STRING",
@@ -40,8 +45,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     )
     return (
         messages.select(F.col("value").cast("string").alias("value"))
-        .select("value", record.alias("data"))
-        .select("value", "data.*")
+        .select("value", F.inline(F.array(record)))
         .select(*_FIELDS, "value", _reason().alias("reason"))
     )
 
