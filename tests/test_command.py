@@ -1,0 +1,23 @@
+import pytest
+
+from tickloom.__main__ import parser
+
+NEEDED = ["--servers", "host:1", "--checkpoint", "/shared/c"]
+
+
+def test_defaults():
+    chosen = parser().parse_args([*NEEDED, "--tables", "/shared/t"])
+    assert (chosen.topic, chosen.starting, chosen.width, chosen.delay) == (
+        "stock_data", "latest", "5 minutes", "10 minutes",
+    )
+    assert (chosen.volatility_limit, chosen.volume_limit) == (2.0, 50000)
+
+
+@pytest.mark.parametrize(
+    "arguments",
+    [NEEDED, ["--servers", "host:1", "--tables", "/t"],
+     [*NEEDED, "--tables", "/t", "--jdbc-url", "jdbc:x"]],
+)
+def test_checkpoint_and_one_target_are_required(arguments):
+    with pytest.raises(SystemExit):
+        parser().parse_args(arguments)

@@ -1,0 +1,39 @@
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+
+from tickloom.operators import conform
+from tickloom.operators.contracts import as_quarantine
+from tickloom.schema import ALERTS, BARS, PRICE_STATS, TICKS
+
+AT = "00:01:00"
+
+
+@pytest.mark.parametrize("price,stored", [(2.345, "2.35"), (2.675, "2.68"), (-2.345, "-2.35"), (99999999.99, "99999999.99")])
+def test_prices_round_half_up(make_ticks, price, stored):
+    good, broken = conform(make_ticks([("A", price, 1, AT)], price="double"), TICKS)
+    assert good.first().price == Decimal(stored)
+    assert good.dtypes[1] == ("price", "decimal(10,2)") and broken.count() == 0
+
+
+@pytest.mark.parametrize(
+    "row",
+    [("A", 123456789.5, 1, AT), ("A", "NaN", 1, AT), ("A", "Infinity", 1, AT), (None, 1, 1, AT),
+     ("A", None, 1, AT), ("A", 1, None, AT), ("A", 1, 1, None), ("ELEVENCHARS", 1, 1, AT)],
+)
+def test_rows_that_break_the_contract_are_kept_apart(make_ticks, row):
+    good, broken = conform(make_ticks([row, ("TENLETTERS", 1, 1, AT)], price="double"), TICKS)
+    assert [r.symbol for r in good.collect()] == ["TENLETTERS"]
+    assert broken.count() == 1 and broken.columns == good.columns
+
+
+def test_quarantine_shows_the_row(make_ticks):
+    _, broken = conform(make_ticks([("A", 123456789.5, 1, AT)], price="double"), TICKS)
+    [(value, reason)] = rows(as_quarantine(broken, "too big"))
+    assert '"price":1.234567895E8' in value and reason == "too big"
+
+
+@pytest.mark.parametrize("contract", [PRICE_STATS, ALERTS, BARS])
+def test_keys_are_columns(contract):
+    assert set(contract.key) <= set(contract.columns)

@@ -1,0 +1,87 @@
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import moment, rows
+
+from tickloom.operators import closes, rsi, trend
+from tickloom.operators.indicators import numbered
+
+
+@pytest.fixture
+def bars(spark):
+    """A dense symbol, a sparse one spanning years, a short one and a nameless one."""
+    draw = random.Random(8)
+    data, start = [], datetime(2024, 1, 15)
+    spans = {"DENSE": (300, 1), "SPARSE": (60, 700), "SHORT": (5, 1), None: (40, 200)}
+    for symbol, (count, hours) in spans.items():
+        at = start
+        for _ in range(count):
+            at += timedelta(hours=draw.randrange(1, 2 * hours + 1))
+            data.append((symbol, at, at + timedelta(hours=1), draw.randrange(1, 500)))
+    data += [("STILL", start + timedelta(hours=h), start + timedelta(hours=h + 1), 7) for h in range(40)]
+    draw.shuffle(data)
+    frame = spark.createDataFrame(
+        data, "symbol string, window_start timestamp_ntz, window_end timestamp_ntz, close int"
+    )
+    return frame.withColumn("close", (frame.close / 100).cast("decimal(18,2)")).repartition(4)
+
+
+def histories(bars):
+    found = defaultdict(list)
+    for row in sorted(bars.collect(), key=lambda r: r.window_start):
+        found[row.symbol].append((row.window_start, row.close))
+    return found
+
+
+def test_positions_count_from_zero(bars):
+    found = {(r.symbol, r.window_start): r.position for r in numbered(bars).collect()}
+    for symbol, history in histories(bars).items():
+        assert [found[symbol, at] for at, _ in history] == list(range(len(history)))
+
+
+@pytest.mark.parametrize("block", [16, 37, 4096])
+def test_rsi_matches_brute_force(bars, block):
+    found = {(r.symbol, r.window_start): r.rsi for r in rsi(bars, block=block).collect()}
+    expected = {}
+    for symbol, history in histories(bars).items():
+        prices = [close for _, close in history]
+        for i, (at, _) in enumerate(history):
+            steps = [prices[j] - prices[j - 1] for j in range(i - 13, i + 1)] if i >= 14 else []
+            gain, loss = sum(s for s in steps if s > 0), -sum(s for s in steps if s < 0)
+            expected[symbol, at] = 100 * float(gain) / float(gain + loss) if gain + loss else None
+    assert found == expected
+
+
+@pytest.mark.parametrize("block", [16, 37, 4096])
+def test_trend_matches_brute_force(bars, block):
+    found = {(r.symbol, r.window_start): r.trend for r in trend(bars, block=block).collect()}
+    expected = {}
+    for symbol, history in histories(bars).items():
+        prices = [close for _, close in history]
+        for i, (at, _) in enumerate(history):
+            near, far = sum(prices[max(i - 2, 0) : i + 1]) * 4, sum(prices[max(i - 11, 0) : i + 1])
+            way = "up" if near > far else "down" if near < far else "flat"
+            expected[symbol, at] = way if i >= 11 else None
+    assert found == expected
+
+
+def test_close_is_the_newest_price_and_ties_go_to_the_higher(make_ticks):
+    ticks = make_ticks(
+        [("A", 9, 1, "00:01:00"), ("A", 2, 1, "00:59:00"), ("A", 3, 9, "00:59:00"),
+         ("A", None, 1, "00:59:59"), ("A", 1, 1, "01:00:00")]
+    )
+    found = [(r.window_start, r.close) for r in closes(ticks.repartition(3)).collect()]
+    assert sorted(found) == [(moment("00:00:00"), 3), (moment("01:00:00"), 1)]
+
+
+def test_closes_need_no_sort(make_ticks):
+    plan = closes(make_ticks([("A", 1, 1, "00:01:00")]))
+    assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bars_are_one_row_each(bars):
+    assert rows(rsi(bars, block=16).select("symbol", "window_start")) == rows(
+        bars.select("symbol", "window_start")
+    )

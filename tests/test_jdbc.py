@@ -1,0 +1,85 @@
+"""JDBC without a database: options, failures, and what a repeated batch adds."""
+
+import logging
+
+import pytest
+from conftest import moment, rows
+
+from tickloom.operators import price_stats, windowed_stats
+from tickloom.schema import ALERTS, PRICE_STATS, TICKS
+from tickloom.sources import read_alerts, read_table, read_ticks
+from tickloom.streaming import Batch, JdbcTables, sinks, unseen, write_jdbc
+
+BATCH = Batch("windows", 0)
+NOWHERE = {"url": "jdbc:none://nowhere/none", "driver": "none.Driver"}
+
+
+def test_failure_is_logged_and_raised(make_ticks, caplog):
+    ticks = make_ticks([("A", 1, 1, "00:01:00")])
+    with caplog.at_level(logging.ERROR), pytest.raises(Exception, match="none.Driver"):
+        write_jdbc(ticks, TICKS.table, NOWHERE)
+    assert "writing table stock_prices failed" in caplog.text
+
+
+def test_reading_needs_a_place(spark):
+    with pytest.raises(ValueError, match="path or JDBC"):
+        read_ticks(spark)
+    with pytest.raises(Exception, match="none.Driver"):
+        read_ticks(spark, jdbc=NOWHERE)
+
+
+def test_parquet_tables_read_the_same_way(spark, make_ticks, tmp_path):
+    ticks = make_ticks([("A", 1, 1, "00:01:00")])
+    ticks.write.parquet(str(tmp_path / "t"))
+    assert rows(read_ticks(spark, str(tmp_path / "t"))) == rows(ticks)
+    assert rows(read_alerts(spark, str(tmp_path / "t"))) == rows(ticks)
+    assert read_table(spark, ALERTS, str(tmp_path / "t")).count() == 1
+
+
+def test_unseen_keeps_rows_with_a_new_key(make_ticks):
+    stats = price_stats(
+        windowed_stats(make_ticks([(s, 1, 1, t) for s in "AB" for t in ("00:01:00", "00:06:00")]))
+    )
+    stored = stats.where("symbol = 'A' and window_start < '2024-01-01 00:05:00'")
+    assert [r[:2] for r in rows(unseen(stats, stored, PRICE_STATS.key))] == [
+        ("A", moment("00:05:00")),
+        ("B", moment("00:00:00")),
+        ("B", moment("00:05:00")),
+    ]
+
+
+@pytest.fixture
+def database(spark, monkeypatch):
+    """Stands in for the connector: rows appended per table, read back as stored."""
+    stored = {}
+
+    def write(rows_, table, options, mode="append"):
+        stored.setdefault(table, []).extend(rows_.collect())
+
+    def read(session, contract, path=None, jdbc=None):
+        return spark.createDataFrame(stored.get(contract.table, []), contract.ddl)
+
+    monkeypatch.setattr(sinks, "write_jdbc", write)
+    monkeypatch.setattr(sinks, "read_table", read)
+    return stored
+
+
+def test_repeated_batch_adds_only_missing_keys(spark, make_ticks, database):
+    stats = windowed_stats(make_ticks([(s, 1, 1, t) for s in "ABC" for t in ("00:01:00", "00:06:00")]))
+    batch, _ = sinks.conform(price_stats(stats), PRICE_STATS)
+    tables = JdbcTables(NOWHERE)
+    tables.append(batch.where("symbol <> 'C'"), PRICE_STATS, BATCH)
+    assert len(database["price_stats"]) == 4
+    tables.append(batch, PRICE_STATS, BATCH)
+    tables.append(batch, PRICE_STATS, BATCH)
+    assert len(set(database["price_stats"])) == len(database["price_stats"]) == 6
+
+
+def test_empty_batch_writes_nothing(spark, database):
+    JdbcTables(NOWHERE).append(spark.createDataFrame([], ALERTS.ddl), ALERTS, BATCH)
+    assert database == {}
+
+
+def test_ticks_have_no_key_and_are_appended(spark, make_ticks, database):
+    JdbcTables(NOWHERE).append(make_ticks([("A", 1, 1, "00:01:00")] * 2), TICKS, BATCH)
+    assert len(database["stock_prices"]) == 2

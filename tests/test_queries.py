@@ -1,0 +1,37 @@
+"""Every registered query against its SQL counterpart on the smallest tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from tickloom.plans import QUERIES, SQL
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def database():
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW events AS SELECT * FROM '{FOLDER}/events.parquet'")
+    return connection
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_sql(spark, database, name):
+    result = QUERIES[name](spark, FOLDER)
+    expected = database.execute(SQL[name])
+    columns = [column[0] for column in expected.description]
+    assert sorted(result.columns) == sorted(columns)
+    found = sorted((tuple(row[c] for c in columns) for row in result.collect()), key=repr)
+    assert found == sorted(expected.fetchall(), key=repr)
+
+
+def test_entry_has_rows(spark):
+    assert contract.entry(spark).limit(1).count() == 1

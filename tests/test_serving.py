@@ -1,0 +1,89 @@
+from datetime import UTC, datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.functions import lookback
+from tickloom.operators import alert_feed, price_history, recent_alerts
+
+NOON = datetime(2024, 1, 1, 12)
+
+
+@pytest.mark.parametrize(
+    "choice,minutes", [("5min", 5), ("15min", 15), ("1hour", 60), ("1day", 1440), ("other", 1440)]
+)
+def test_lookback(choice, minutes):
+    assert lookback(choice) == timedelta(minutes=minutes)
+
+
+def test_default_lookback_is_fifteen_minutes():
+    assert lookback() == timedelta(minutes=15)
+
+
+@pytest.fixture
+def day_of_ticks(make_ticks):
+    times = [NOON - timedelta(seconds=s) for s in (0, 1, 299, 300, 301, 900, 3600, 86400, 86401)]
+    later = NOON + timedelta(microseconds=1)
+    data = [(s, 1, 1, t) for t in [*times, later] for s in "AB"]
+    return make_ticks(data).repartition(3)
+
+
+@pytest.mark.parametrize(
+    "as_of",
+    [NOON, NOON.replace(tzinfo=UTC), datetime(2024, 1, 1, 14, tzinfo=timezone(timedelta(hours=2))),
+     lambda: F.lit("2024-01-01 12:00:00").cast("timestamp_ntz")],
+    ids=["naive", "utc", "offset", "column"],
+)
+def test_history_is_closed_and_sorted(spark, day_of_ticks, as_of):
+    found = price_history(day_of_ticks, "A", "5min", as_of() if callable(as_of) else as_of)
+    assert found.columns == ["timestamp", "price", "volume"]
+    ago = [(NOON - r.timestamp).total_seconds() for r in found.collect()]
+    assert ago == [300, 299, 1, 0]
+
+
+def test_history_of_a_day(day_of_ticks):
+    assert price_history(day_of_ticks, "A", "1day", NOON).count() == 8
+
+
+def test_now_is_the_default(spark, make_ticks):
+    now = datetime.now(UTC).replace(tzinfo=None)
+    ticks = make_ticks([("A", 1, 1, now - timedelta(seconds=20)), ("A", 1, 1, now - timedelta(hours=2))])
+    assert price_history(ticks, "A").count() == 1
+
+
+def test_range_and_symbol_reach_the_scan(spark, day_of_ticks, tmp_path):
+    path = str(tmp_path / "ticks")
+    day_of_ticks.withColumn("day", F.to_date("timestamp")).write.partitionBy("day").parquet(path)
+    plan = price_history(spark.read.parquet(path), "A", "1hour", NOON)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in text.splitlines() if "FileScan" in line)
+    assert "EqualTo(symbol,A)" in scan
+    assert "GreaterThanOrEqual(timestamp" in scan
+    assert "(day#" in scan.split("PartitionFilters")[1]
+    assert plan.count() == 7
+
+
+def alert_rows(spark, count):
+    data = [
+        (s, NOON - timedelta(minutes=5 * i + 5), NOON - timedelta(minutes=5 * i), kind, 2.345 + i)
+        for s in "AB" for i in range(count) for kind in ("x", "y")
+    ]
+    schema = "symbol string, window_start timestamp_ntz, window_end timestamp_ntz, alert_type string, value double"
+    return spark.createDataFrame(data, schema).repartition(3)
+
+
+def test_recent_alerts_newest_first_with_ties_by_type(spark):
+    found = recent_alerts(alert_rows(spark, 20), "A", NOON)
+    ago = [((NOON - r.timestamp).total_seconds() / 60, r.alert_type) for r in found.collect()]
+    assert ago == [(0, "x"), (0, "y"), (5, "x"), (5, "y"), (10, "x")]
+
+
+def test_recent_alerts_start_is_included_and_end_is_open(spark):
+    alerts = alert_rows(spark, 20)
+    assert recent_alerts(alerts, "A", NOON, limit=100).count() == 26
+    assert recent_alerts(alerts, "A", NOON - timedelta(minutes=30), limit=100).count() == 38
+
+
+def test_feed_shows_time_and_two_decimals(spark):
+    first = alert_feed(alert_rows(spark, 1), "A", NOON).first()
+    assert first[:] == ("12:00:00", "x", "2.35")

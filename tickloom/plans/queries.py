@@ -13,7 +13,7 @@ from tickloom.operators.windows import WINDOW_KEY
 from tickloom.schema import ALERTS, BARS, PRICE_STATS, QUARANTINE, TICKS
 from tickloom.session import run_folder, streaming_session, use_utc
 from tickloom.sources import decode_ticks, encode_ticks, messages_from_events, ticks_from_events
-from tickloom.streaming import ParquetTables, start_latest, start_sink
+from tickloom.streaming import Batch, ParquetTables, start_latest, start_sink
 from tickloom.streaming.job import start_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,8 +195,9 @@ def drain(spark, stream, columns, mode="append") -> DataFrame:
     """Run a stream over all there is and read back what it wrote."""
     root = run_folder(spark)
 
-    def write(rows: DataFrame, batch_id: int) -> None:
-        naive(rows.select(*columns)).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+    def write(rows: DataFrame, batch: Batch) -> None:
+        target = f"{root}/out/batch_id={batch.id}"
+        naive(rows.select(*columns)).write.mode("overwrite").parquet(target)
 
     start_sink(stream, "drain", f"{root}/checkpoint", write, mode, ONCE).awaitTermination()
     return spark.read.parquet(f"{root}/out").select(*columns)

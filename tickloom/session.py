@@ -34,7 +34,8 @@ def streaming_session(spark: SparkSession, partitions: int | None = None) -> Spa
 
     The number of state partitions is frozen in a query's first checkpoint, so it
     is set here, apart from the batch session: ``partitions`` if given, else the
-    number of cores Spark has. State lives in RocksDB, off the heap.
+    number of cores Spark has. State lives in RocksDB, off the heap, and a
+    checkpoint uploads the changes only.
     """
     sibling = use_utc(spark.newSession())
     sibling.conf.set(
@@ -44,6 +45,9 @@ def streaming_session(spark: SparkSession, partitions: int | None = None) -> Spa
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    sibling.conf.set(
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
+    )
     return sibling
 
 

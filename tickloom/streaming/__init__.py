@@ -2,6 +2,7 @@
 
 from tickloom.streaming.job import start_latest, start_pipeline, wait
 from tickloom.streaming.sinks import (
+    Batch,
     JdbcTables,
     ParquetTables,
     start_sink,
@@ -11,6 +12,7 @@ from tickloom.streaming.sinks import (
 )
 
 __all__ = [
+    "Batch",
     "JdbcTables",
     "ParquetTables",
     "start_latest",

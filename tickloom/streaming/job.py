@@ -24,7 +24,7 @@ from tickloom.schema import (
     WINDOW_WIDTH,
 )
 from tickloom.sources import decode_ticks, parse_messages
-from tickloom.streaming.sinks import ParquetTables, Tables, start_sink, store
+from tickloom.streaming.sinks import Batch, ParquetTables, Tables, start_sink, store
 
 
 def start_raw(
@@ -32,11 +32,11 @@ def start_raw(
 ) -> StreamingQuery:
     """Store ticks and quarantine the rest; each message is parsed once."""
 
-    def write(parsed: DataFrame, batch_id: int) -> None:
+    def write(parsed: DataFrame, batch: Batch) -> None:
         bad = F.col("reason").isNotNull()
         ticks = parsed.where(~bad).select(*TICKS.columns)
         rejected = parsed.where(bad).select("value", "reason")
-        store([(ticks, TICKS)], tables, batch_id, rejected)
+        store([(ticks, TICKS)], tables, batch, rejected)
 
     parsed = parse_messages(messages)
     return start_sink(parsed, "raw", checkpoint, write, trigger=trigger)
@@ -54,13 +54,13 @@ def start_windows(
 ) -> StreamingQuery:
     """Store bars, stats and alerts of closed windows, from one state."""
 
-    def write(stats: DataFrame, batch_id: int) -> None:
+    def write(stats: DataFrame, batch: Batch) -> None:
         parts = [
             (price_bars(stats), BARS),
             (price_stats(stats), PRICE_STATS),
             (detect_alerts(stats, volatility_limit, volume_limit), ALERTS),
         ]
-        store(parts, tables, batch_id)
+        store(parts, tables, batch)
 
     stats = windowed_stats(ticks, width, delay)
     return start_sink(stats, "windows", checkpoint, write, trigger=trigger)
@@ -75,8 +75,8 @@ def start_latest(
     change of a symbol always ranks higher.
     """
 
-    def write(changes: DataFrame, batch_id: int) -> None:
-        store([(changes, TICKS)], tables, batch_id)
+    def write(changes: DataFrame, batch: Batch) -> None:
+        store([(changes, TICKS)], tables, batch)
 
     return start_sink(latest_prices(ticks), "latest", checkpoint, write, "update", trigger)
 

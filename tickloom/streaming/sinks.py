@@ -20,17 +20,25 @@ from tickloom.sources.tables import read_table
 log = logging.getLogger(__name__)
 
 
+@dataclass(frozen=True)
+class Batch:
+    """A micro-batch: ids count per query, so the query's name belongs to it."""
+
+    query: str
+    id: int
+
+
 class Tables(Protocol):
     """A set of target tables."""
 
-    def append(self, rows: DataFrame, contract: Contract, batch_id: int) -> None: ...
+    def append(self, rows: DataFrame, contract: Contract, batch: Batch) -> None: ...
 
 
 @dataclass(frozen=True)
 class ParquetTables:
-    """Tables as folders below ``root``, one ``batch_id=N`` folder per micro-batch.
+    """Tables as folders below ``root``, with one folder per query and micro-batch.
 
-    Writing a batch again replaces its folder. Ticks are laid out by day and
+    Writing a batch again replaces its folder and no other. Ticks are laid out by day and
     sorted by symbol and time within a file, so that scans for one symbol and a
     time range skip most row groups.
     """
@@ -40,8 +48,8 @@ class ParquetTables:
     def path(self, contract: Contract) -> str:
         return f"{self.root}/{contract.table}"
 
-    def append(self, rows: DataFrame, contract: Contract, batch_id: int) -> None:
-        target = f"{self.path(contract)}/batch_id={batch_id}"
+    def append(self, rows: DataFrame, contract: Contract, batch: Batch) -> None:
+        target = f"{self.path(contract)}/query={batch.query}/batch_id={batch.id}"
         if contract is TICKS:
             dated = rows.withColumn("day", F.to_date("timestamp"))
             by_time = dated.sortWithinPartitions("day", "symbol", "timestamp")
@@ -87,7 +95,7 @@ class JdbcTables:
 
     options: dict[str, str]
 
-    def append(self, rows: DataFrame, contract: Contract, batch_id: int) -> None:
+    def append(self, rows: DataFrame, contract: Contract, batch: Batch) -> None:
         if contract.key:
             span = rows.agg(F.min("window_start").alias("first"), F.max("window_start").alias("last"))
             first, last = span.first()
@@ -102,27 +110,27 @@ class JdbcTables:
 def store(
     parts: list[tuple[DataFrame, Contract]],
     tables: Tables,
-    batch_id: int,
+    batch: Batch,
     quarantine: DataFrame | None = None,
 ) -> None:
     """Fit each part to its contract and write it; what does not fit is quarantined."""
     rejected = [] if quarantine is None else [quarantine]
     for rows, contract in parts:
         good, broken = conform(rows, contract)
-        tables.append(good, contract, batch_id)
+        tables.append(good, contract, batch)
         rejected.append(as_quarantine(broken, f"does not fit {contract.table}"))
-    tables.append(reduce(DataFrame.unionByName, rejected), QUARANTINE, batch_id)
+    tables.append(reduce(DataFrame.unionByName, rejected), QUARANTINE, batch)
 
 
 def start_sink(
     stream: DataFrame,
     name: str,
     checkpoint: str,
-    write: Callable[[DataFrame, int], None],
+    write: Callable[[DataFrame, Batch], None],
     mode: str = "append",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start a query that hands each micro-batch to ``write(rows, batch_id)``.
+    """Start a query that hands each micro-batch to ``write(rows, batch)``.
 
     The batch is kept while it is written, since it usually feeds several tables.
     Losing the kept blocks costs a recomputation from the source, not the result.
@@ -131,7 +139,7 @@ def start_sink(
     def write_batch(rows: DataFrame, batch_id: int) -> None:
         kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write(kept, batch_id)
+            write(kept, Batch(name, batch_id))
         finally:
             kept.unpersist()
 
