@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import exact_mean
-from tickloom.schema import DAILY_VIEW, LATEST_VIEW
+from tickloom.operators.windows import per_window
+from tickloom.schema import DAILY_VIEW, LATEST_VIEW, WATERMARK_DELAY
 
 # Size of the broadcast side of latest_prices: at most this many rows of two
 # 8-byte numbers, whatever the number of ticks and symbols.
@@ -50,13 +51,21 @@ def latest_prices(ticks: DataFrame) -> DataFrame:
 
 
 def daily_stats(ticks: DataFrame) -> DataFrame:
-    """Highest, lowest and mean price and total volume per symbol and day."""
-    day = F.date_trunc("day", "timestamp").cast(ticks.schema["timestamp"].dataType)
-    return ticks.groupBy("symbol", day.alias("date")).agg(
+    """Highest, lowest and mean price and total volume per symbol and UTC day.
+
+    A day is a window of one day, which gives what truncating to the day gives in
+    UTC, without a time zone lookup per tick. Ticks without a timestamp do not count.
+    """
+    return per_window(
+        ticks,
+        "1 day",
+        WATERMARK_DELAY,
         F.max("price").alias("high"),
         F.min("price").alias("low"),
         exact_mean("price").alias("avg_price"),
         F.sum("volume").alias("total_volume"),
+    ).select(
+        "symbol", F.col("window_start").alias("date"), "high", "low", "avg_price", "total_volume"
     )
 
 
