@@ -191,7 +191,7 @@ def trend(spark, folder):
     return op.trend(stored(spark, op.closes(ticks(spark, folder), "1 hour")))
 
 
-def drain(spark, stream, columns, mode="append") -> DataFrame:
+def drain(spark, stream, columns) -> DataFrame:
     """Run a stream over all there is and read back what it wrote."""
     root = run_folder(spark)
 
@@ -199,7 +199,8 @@ def drain(spark, stream, columns, mode="append") -> DataFrame:
         target = f"{root}/out/batch_id={batch.id}"
         naive(rows.select(*columns)).write.mode("overwrite").parquet(target)
 
-    start_sink(stream, "drain", f"{root}/checkpoint", write, mode, ONCE).awaitTermination()
+    sink = start_sink(stream, "drain", f"{root}/checkpoint", write, trigger=ONCE, keep=False)
+    sink.awaitTermination()
     return spark.read.parquet(f"{root}/out").select(*columns)
 
 

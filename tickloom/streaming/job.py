@@ -30,7 +30,10 @@ from tickloom.streaming.sinks import Batch, ParquetTables, Tables, start_sink, s
 def start_raw(
     messages: DataFrame, tables: Tables, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Store ticks and quarantine the rest; each message is parsed once."""
+    """Store ticks and quarantine the rest; each message is parsed once.
+
+    The text of a good message is let go, so that a kept batch holds ticks only.
+    """
 
     def write(parsed: DataFrame, batch: Batch) -> None:
         bad = F.col("reason").isNotNull()
@@ -38,7 +41,8 @@ def start_raw(
         rejected = parsed.where(bad).select("value", "reason")
         store([(ticks, TICKS)], tables, batch, rejected)
 
-    parsed = parse_messages(messages)
+    bad_text = F.when(F.col("reason").isNotNull(), F.col("value"))
+    parsed = parse_messages(messages).withColumn("value", bad_text)
     return start_sink(parsed, "raw", checkpoint, write, trigger=trigger)
 
 

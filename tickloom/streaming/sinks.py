@@ -129,17 +129,22 @@ def start_sink(
     write: Callable[[DataFrame, Batch], None],
     mode: str = "append",
     trigger: dict | None = None,
+    keep: bool = True,
 ) -> StreamingQuery:
     """Start a query that hands each micro-batch to ``write(rows, batch)``.
 
-    The batch is kept while it is written, since it usually feeds several tables.
-    Losing the kept blocks costs a recomputation from the source, not the result.
+    With ``keep`` the batch is kept while it feeds several tables. Losing the kept
+    blocks costs a recomputation from the source, not the result.
     """
 
     def write_batch(rows: DataFrame, batch_id: int) -> None:
+        batch = Batch(name, batch_id)
+        if not keep:
+            write(rows, batch)
+            return
         kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write(kept, Batch(name, batch_id))
+            write(kept, batch)
         finally:
             kept.unpersist()
 
