@@ -8,6 +8,7 @@ from conftest import moment, rows
 from tickloom.operators import price_stats, windowed_stats
 from tickloom.schema import ALERTS, PRICE_STATS, TICKS
 from tickloom.sources import read_alerts, read_table, read_ticks
+from tickloom.sources.tables import jdbc_options
 from tickloom.streaming import Batch, JdbcTables, sinks, unseen, write_jdbc
 
 BATCH = Batch("windows", 0)
@@ -28,6 +29,13 @@ def test_reading_needs_a_place(spark):
         read_ticks(spark, jdbc=NOWHERE)
 
 
+def test_options_for_reading():
+    assert jdbc_options(ALERTS, {"url": "u"}) == {
+        "dbtable": "anomalies", "preferTimestampNTZ": "true", "url": "u",
+    }
+    assert jdbc_options(ALERTS, {"dbtable": "other"})["dbtable"] == "other"
+
+
 def test_parquet_tables_read_the_same_way(spark, make_ticks, tmp_path):
     ticks = make_ticks([("A", 1, 1, "00:01:00")])
     ticks.write.parquet(str(tmp_path / "t"))

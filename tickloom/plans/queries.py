@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 
 from tickloom import operators as op
 from tickloom.operators.windows import WINDOW_KEY
-from tickloom.schema import ALERTS, BARS, PRICE_STATS, QUARANTINE, TICKS
+from tickloom.schema import (
+    ALERTS,
+    BARS,
+    DAILY_VIEW,
+    LATEST_VIEW,
+    PRICE_STATS,
+    QUARANTINE,
+    TICKS,
+)
 from tickloom.session import run_folder, streaming_session, use_utc
 from tickloom.sources import decode_ticks, encode_ticks, messages_from_events, ticks_from_events
 from tickloom.streaming import Batch, ParquetTables, start_latest, start_sink
-from tickloom.streaming.job import start_raw
+from tickloom.streaming.job import start_raw, start_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,6 +127,13 @@ def daily_stats(spark, folder):
     return op.daily_stats(ticks(spark, folder))
 
 
+@query("view_latest_prices", view=LATEST_VIEW)
+@query("view_daily_stats", view=DAILY_VIEW)
+def view(spark, folder, view):
+    op.create_views(ticks(spark, folder))
+    return spark.sql(f"SELECT * FROM {view}")
+
+
 @query("price_history_5min", choice="5min")
 @query("price_history_15min", choice="15min")
 @query("price_history_1hour", choice="1hour")
@@ -245,6 +260,25 @@ def stream_quarantine(spark, folder):
     return raw_tables(spark, folder).read(spark, QUARANTINE)
 
 
+@query("stored_price_history_1day")
+def stored_price_history(spark, folder):
+    """History from the table the stream wrote: by day, sorted by symbol and time."""
+    return op.price_history(
+        raw_tables(spark, folder).read(spark, TICKS), SYMBOL, "1day", newest(spark, folder)
+    )
+
+
+@query("stored_recent_alerts_1day")
+def stored_recent_alerts(spark, folder):
+    """Recent alerts from the table the stream wrote."""
+    root = run_folder(spark)
+    tables = ParquetTables(f"{root}/tables")
+    stream = ticks_from_events(event_stream(streaming_session(spark), folder))
+    start_windows(stream, tables, f"{root}/checkpoint", trigger=ONCE).awaitTermination()
+    stored_alerts = tables.read(spark, ALERTS)
+    return op.recent_alerts(stored_alerts, SYMBOL, newest(spark, folder), DAY)
+
+
 @query("stream_latest_prices")
 def stream_latest_prices(spark, folder):
     root = run_folder(spark)

@@ -53,9 +53,9 @@ WHERE symbol = 'view' AND timestamp BETWEEN
 ORDER BY timestamp"""
 
 
-def _recent(span: str, value: str = "value") -> str:
+def _recent(span: str, value: str = "value", more: str = "") -> str:
     return f"""SELECT window_end AS timestamp, alert_type, {value} AS value FROM alerts
-WHERE symbol = 'view' AND window_end >= (SELECT max(timestamp) FROM ticks) - INTERVAL '{span}'
+WHERE symbol = 'view' AND window_end >= (SELECT max(timestamp) FROM ticks) - INTERVAL '{span}' {more}
 ORDER BY timestamp DESC, alert_type LIMIT {ALERT_ROWS}"""
 
 
@@ -70,6 +70,12 @@ LATEST = f"""WITH {TICKS}
 SELECT DISTINCT ON (symbol) symbol, price, volume, timestamp FROM ticks
 ORDER BY symbol, timestamp DESC, volume DESC, price DESC"""
 
+DAILY = f"""WITH {TICKS}
+SELECT symbol, CAST(date_trunc('day', timestamp) AS TIMESTAMP) AS date, max(price) AS high,
+       min(price) AS low, CAST(sum(price) AS DOUBLE) / nullif(count(price), 0) AS avg_price,
+       CAST(sum(volume) AS BIGINT) AS total_volume
+FROM ticks GROUP BY ALL"""
+
 MESSAGE = """'{"symbol":"' || symbol || '","price":' || price || ',"volume":' || volume
       || ',"timestamp":"' || strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '"}'"""
 
@@ -134,11 +140,9 @@ SQL: dict[str, str] = {
     "alerts_5m": f"WITH {_alerts()} SELECT {ALERTS} FROM alerts",
     "alerts_1h": f"WITH {_alerts('1 hour')} SELECT {ALERTS} FROM alerts",
     "latest_prices": LATEST,
-    "daily_stats": f"""WITH {TICKS}
-SELECT symbol, CAST(date_trunc('day', timestamp) AS TIMESTAMP) AS date, max(price) AS high,
-       min(price) AS low, CAST(sum(price) AS DOUBLE) / nullif(count(price), 0) AS avg_price,
-       CAST(sum(volume) AS BIGINT) AS total_volume
-FROM ticks GROUP BY ALL""",
+    "daily_stats": DAILY,
+    "view_latest_prices": LATEST,
+    "view_daily_stats": DAILY,
     "price_history_5min": _history("5 minutes"),
     "price_history_15min": _history("15 minutes"),
     "price_history_1hour": _history("1 hour"),
@@ -180,5 +184,9 @@ FROM ticks WHERE symbol <> 'error'""",
     )
     + " AND symbol <> 'error'",
     "stream_quarantine": QUARANTINE,
+    "stored_price_history_1day": f"""SELECT timestamp, CAST(price AS DECIMAL(10,2)) AS price, volume
+FROM ({_history('1 day')}) ORDER BY timestamp""",
+    "stored_recent_alerts_1day": f"WITH {_alerts()} "
+    + _recent("1 day", "CAST(value AS DECIMAL(10,2))", f"AND {CLOSED}"),
     "stream_latest_prices": LATEST,
 }

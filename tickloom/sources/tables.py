@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom.schema import ALERTS, TICKS, Contract
 
 
+def jdbc_options(contract: Contract, given: dict[str, str]) -> dict[str, str]:
+    """Options for reading a table. Its timestamps have no zone and are read that
+    way, so that predicates on them need no cast and reach the database."""
+    return {"dbtable": contract.table, "preferTimestampNTZ": "true", **given}
+
+
 def read_table(
     spark: SparkSession,
     contract: Contract,
@@ -21,8 +27,7 @@ def read_table(
         return spark.read.parquet(path)
     if jdbc is None:
         raise ValueError("give a path or JDBC options")
-    options = {"dbtable": contract.table, **jdbc}
-    return spark.read.format("jdbc").options(**options).load()
+    return spark.read.format("jdbc").options(**jdbc_options(contract, jdbc)).load()
 
 
 def read_ticks(
