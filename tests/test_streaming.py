@@ -12,6 +12,7 @@ from tickloom.sources import decode_ticks, kafka_options, publish_ticks, read_to
 from tickloom.streaming import (
     Batch,
     ParquetTables,
+    sinks,
     start_latest,
     start_pipeline,
     start_sink,
@@ -218,6 +219,25 @@ def test_pipeline_fills_every_table(spark, topic, tables, tmp_path):
     ]
 
 
+def test_small_batches_make_one_file_per_table(spark, topic, tables, tmp_path):
+    topic.send(*[tick(f"S{i}", "00:01:00", volume=90000) for i in range(40)], tick("Z", "01:00:00"))
+    topic.session.conf.set("spark.sql.shuffle.partitions", "6")
+    for query in start_pipeline(topic.messages(), tables, str(tmp_path / "c"), ONCE):
+        query.awaitTermination()
+    for contract in (TICKS, BARS, PRICE_STATS, ALERTS):
+        files = tables.read(spark, contract).select(F.input_file_name()).distinct().count()
+        assert files == 1
+    assert tables.read(spark, ALERTS).count() == 40
+
+
+def test_large_batches_keep_their_tasks(make_ticks, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_PER_TASK", 10)
+    ticks = make_ticks([("A", 1, 1, "00:01:00")] * 60).repartition(8)
+    sizes = {n: Batch("raw", 0, n).fold(ticks).rdd.getNumPartitions() for n in (0, 9, 35, 600)}
+    assert sizes == {0: 1, 9: 1, 35: 4, 600: 8}
+    assert Batch("raw", 0).fold(ticks).rdd.getNumPartitions() == 8
+
+
 def test_queries_do_not_replace_each_others_batches(spark, make_ticks, tables):
     for query in ("raw", "other"):
         rows_ = make_ticks([(query, 1, 1, "00:01:00")])

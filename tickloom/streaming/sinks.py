@@ -19,13 +19,27 @@ from tickloom.sources.tables import read_table
 
 log = logging.getLogger(__name__)
 
+ROWS_PER_TASK = 1_000_000
+
 
 @dataclass(frozen=True)
 class Batch:
-    """A micro-batch: ids count per query, so the query's name belongs to it."""
+    """A micro-batch: ids count per query, so the query's name belongs to it.
+
+    ``size`` is its number of rows where that is known.
+    """
 
     query: str
     id: int
+    size: int | None = None
+
+    def fold(self, rows: DataFrame) -> DataFrame:
+        """Rows of this batch in as few tasks as its size asks for.
+
+        A window query has a task per state partition, most of them with few rows
+        to write, and each would make a file or open a connection of its own.
+        """
+        return rows if self.size is None else rows.coalesce(1 + self.size // ROWS_PER_TASK)
 
 
 class Tables(Protocol):
@@ -117,9 +131,9 @@ def store(
     rejected = [] if quarantine is None else [quarantine]
     for rows, contract in parts:
         good, broken = conform(rows, contract)
-        tables.append(good, contract, batch)
+        tables.append(batch.fold(good), contract, batch)
         rejected.append(as_quarantine(broken, f"does not fit {contract.table}"))
-    tables.append(reduce(DataFrame.unionByName, rejected), QUARANTINE, batch)
+    tables.append(batch.fold(reduce(DataFrame.unionByName, rejected)), QUARANTINE, batch)
 
 
 def start_sink(
@@ -133,18 +147,18 @@ def start_sink(
 ) -> StreamingQuery:
     """Start a query that hands each micro-batch to ``write(rows, batch)``.
 
-    With ``keep`` the batch is kept while it feeds several tables. Losing the kept
-    blocks costs a recomputation from the source, not the result.
+    With ``keep`` the batch is computed once, by all its tasks, and kept while it
+    feeds several tables. Losing the kept blocks costs a recomputation from the
+    source, not the result.
     """
 
     def write_batch(rows: DataFrame, batch_id: int) -> None:
-        batch = Batch(name, batch_id)
         if not keep:
-            write(rows, batch)
+            write(rows, Batch(name, batch_id))
             return
         kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write(kept, batch)
+            write(kept, Batch(name, batch_id, kept.count()))
         finally:
             kept.unpersist()
 
