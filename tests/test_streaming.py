@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from tickloom.operators import detect_alerts, latest_prices, price_stats, windowed_stats
 from tickloom.schema import ALERTS, BARS, PRICE_STATS, QUARANTINE, TICKS
 from tickloom.session import run_folder, streaming_session
-from tickloom.sources import decode_ticks, kafka_options, publish_ticks, read_topic_stream
+from tickloom.sources import (
+    decode_ticks,
+    kafka_options,
+    kafka_sink_options,
+    publish_ticks,
+    read_topic_stream,
+)
 from tickloom.streaming import (
     Batch,
     ParquetTables,
@@ -298,6 +304,9 @@ def test_kafka_options():
         "groupIdPrefix": "x",
     }
     assert kafka_options("host:1", "other", "earliest")["startingOffsets"] == "earliest"
+    assert kafka_sink_options("host:1", acks="all") == {
+        "kafka.bootstrap.servers": "host:1", "topic": "stock_data", "acks": "all",
+    }
 
 
 def test_run_folder_lies_in_the_shared_folder(spark):

@@ -1,3 +1,7 @@
+import random
+from datetime import timedelta
+from decimal import Decimal
+
 import pytest
 from conftest import moment, rows
 
@@ -96,3 +100,23 @@ def test_filters_do_not_parse_again(spark):
 def test_parsed_rows_keep_message_and_fields(spark):
     row = parse_messages(messages(spark, GOOD)).first()
     assert (row.symbol, row.price, row.volume, row.value, row.reason) == ("A", 1.5, 3, GOOD, None)
+
+
+def test_any_symbol_and_time_survive(spark, make_ticks):
+    draw = random.Random(11)
+    alphabet = 'Aé€"\\{}[],: \n\t\u2028\U0001f4c8'
+    sent = [
+        (
+            "".join(draw.choices(alphabet, k=draw.randrange(1, 8))),
+            f"{draw.randrange(-(10**9), 10**9) / 100:.2f}",
+            draw.randrange(-(2**31), 2**31),
+            moment("00:00:00") + timedelta(microseconds=draw.randrange(-(10**16), 10**16)),
+        )
+        for _ in range(400)
+    ]
+    ticks, rejected = decode_ticks(encode_ticks(make_ticks(sent)))
+    back = ticks.selectExpr(
+        "symbol", "cast(price as decimal(18,2))", "volume", "cast(timestamp as timestamp_ntz)"
+    )
+    assert rejected.count() == 0
+    assert rows(back) == sorted(((s, Decimal(p), v, t) for s, p, v, t in sent), key=repr)

@@ -24,7 +24,8 @@ def conform(rows: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     Prices are rounded half up to the contract's scale. Broken rows (null, too
     long, out of range) keep their original values.
     """
-    fits = F.coalesce(reduce(and_, [_fits(name, contract) for name in contract.columns]), F.lit(False))
+    whole = reduce(and_, [_fits(name, contract) for name in contract.columns])
+    fits = F.coalesce(whole, F.lit(False))
     cast = [F.col(name).try_cast(kind).alias(name) for name, kind in contract.columns.items()]
     return rows.where(fits).select(*cast), rows.where(~fits).select(*contract.columns)
 

@@ -72,7 +72,7 @@ def looking_back(bars: DataFrame, context: int, block: int = BLOCK) -> tuple[Dat
     The last ``context`` bars of a block are repeated in the next one, marked by
     ``lead``. Rows with ``lead`` set are to be dropped after the window.
     """
-    own = F.floor(F.col("position") / block)
+    own = F.expr(f"position div {block}")
     repeated = F.col("position") % block >= block - context
     targets = F.when(repeated, F.array(own, own + 1)).otherwise(F.array(own))
     blocks = (
@@ -94,7 +94,8 @@ def rsi(bars: DataFrame, changes: int = RSI_CHANGES, block: int = BLOCK) -> Data
     last = in_block.rowsBetween(1 - changes, 0)
     gain = F.sum(F.greatest(F.col("step"), F.lit(0))).over(last)
     loss = F.sum(F.greatest(-F.col("step"), F.lit(0))).over(last)
-    strength = F.try_divide(100 * F.col("gain").cast("double"), (F.col("gain") + F.col("loss")).cast("double"))
+    moved = (F.col("gain") + F.col("loss")).cast("double")
+    strength = F.try_divide(100 * F.col("gain").cast("double"), moved)
     return (
         blocks.withColumn("step", step)
         .withColumn("gain", gain)

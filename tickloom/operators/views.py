@@ -36,7 +36,7 @@ def latest_prices(ticks: DataFrame) -> DataFrame:
     """The newest tick of each symbol: larger volume, then price, win a tie.
 
     ``max_by`` over structs makes Spark sort each task's rows by symbol. A table
-    is therefore thinned out first; on a stream a micro-batch is small enough.
+    is therefore thinned out first, reading it twice; a micro-batch is small enough.
     Ticks without a timestamp do not count.
     """
     tick = F.struct("price", "volume", "timestamp")

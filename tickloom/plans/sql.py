@@ -82,7 +82,8 @@ MESSAGE = """'{"symbol":"' || symbol || '","price":' || price || ',"volume":' ||
 QUARANTINE = f"""WITH {TICKS}, messages AS (SELECT *, {MESSAGE} AS message FROM ticks)
 SELECT CASE WHEN volume < 25000 THEN rtrim(message, '}}')
             WHEN volume < 50000 THEN symbol
-            WHEN volume < 75000 THEN regexp_replace(message, '"price":[\\d.]+', '"price":"high"')
+            WHEN volume < 75000
+            THEN regexp_replace(message, '"price":[\\d.]+', '"price":"high"')
             ELSE '{{}}' END AS value,
        CASE WHEN volume < 75000 THEN 'malformed message'
             ELSE 'missing symbol, price, volume, timestamp' END AS reason
@@ -162,7 +163,9 @@ FROM ticks WHERE symbol <> 'error'""",
         {"symbol": "VARCHAR", "price": TWO_PLACES, "volume": "INTEGER", "timestamp": "TIMESTAMP"},
     ),
     "conform_price_stats": _conformed(
-        _stats("5 minutes"), "stats", {**WINDOW, "price_range": TWO_PLACES, "volatility": TWO_PLACES}
+        _stats("5 minutes"),
+        "stats",
+        {**WINDOW, "price_range": TWO_PLACES, "volatility": TWO_PLACES},
     ),
     "conform_alerts": _conformed(
         _alerts(), "alerts", {**WINDOW, "alert_type": "VARCHAR", "value": TWO_PLACES}

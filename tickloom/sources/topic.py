@@ -25,6 +25,11 @@ def kafka_options(
     }
 
 
+def kafka_sink_options(servers: str, topic: str = TOPIC, **more: str) -> dict[str, str]:
+    """Options that publish to one topic."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic, **more}
+
+
 def read_topic_stream(
     spark: SparkSession,
     options: dict[str, str],

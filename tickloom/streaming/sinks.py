@@ -111,8 +111,8 @@ class JdbcTables:
 
     def append(self, rows: DataFrame, contract: Contract, batch: Batch) -> None:
         if contract.key:
-            span = rows.agg(F.min("window_start").alias("first"), F.max("window_start").alias("last"))
-            first, last = span.first()
+            starts = F.min("window_start").alias("first"), F.max("window_start").alias("last")
+            first, last = rows.agg(*starts).first()
             if first is None:
                 return
             stored = read_table(rows.sparkSession, contract, jdbc=self.options)
