@@ -1,6 +1,6 @@
 import pytest
 
-from tickloom.__main__ import parser
+from tickloom.__main__ import pairs, parser
 
 NEEDED = ["--servers", "host:1", "--checkpoint", "/shared/c"]
 
@@ -21,3 +21,12 @@ def test_defaults():
 def test_checkpoint_and_one_target_are_required(arguments):
     with pytest.raises(SystemExit):
         parser().parse_args(arguments)
+
+
+def test_options_are_pairs():
+    chosen = parser().parse_args(
+        [*NEEDED, "--jdbc-url", "jdbc:x", "--jdbc-option", "password=a=b",
+         "--source-option", "maxOffsetsPerTrigger=5"]
+    )
+    assert pairs(chosen.jdbc_option) == {"password": "a=b"}
+    assert pairs(chosen.source_option) == {"maxOffsetsPerTrigger": "5"}

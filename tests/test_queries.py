@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from tickloom.plans import QUERIES, SQL
+from tickloom.plans import queries as plan_queries
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -41,5 +42,18 @@ def test_plan_is_distributed(spark, name):
         assert costly not in plan
 
 
+@pytest.mark.parametrize("name", ["stream_raw_ticks", "stream_quarantine", "stream_latest_prices"])
+def test_many_batches_give_the_same(spark, database, monkeypatch, tmp_path, name):
+    """The table as several files, each of them a batch."""
+    whole = spark.read.parquet(f"{FOLDER}/events.parquet")
+    whole.repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(plan_queries, "BOUNDED", {"maxBytesPerTrigger": "1"})
+    result = QUERIES[name](spark, str(tmp_path))
+    expected = database.execute(SQL[name])
+    columns = [column[0] for column in expected.description]
+    found = sorted((tuple(row[c] for c in columns) for row in result.collect()), key=repr)
+    assert found == sorted(expected.fetchall(), key=repr)
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).limit(1).count() == 1

@@ -16,6 +16,10 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--servers", required=True, help="bootstrap servers of the topic")
     options.add_argument("--topic", default=TOPIC)
     options.add_argument("--starting", default="latest", help="offsets of the very first start")
+    options.add_argument(
+        "--source-option", action="append", default=[], metavar="KEY=VALUE",
+        help="more options of the topic, such as maxOffsetsPerTrigger=1000000",
+    )
     options.add_argument("--checkpoint", required=True, help="folder that all executors share")
     target = options.add_mutually_exclusive_group(required=True)
     target.add_argument("--tables", help="folder for parquet tables")
@@ -30,18 +34,22 @@ def parser() -> argparse.ArgumentParser:
     return options
 
 
+def pairs(options: list[str]) -> dict[str, str]:
+    return dict(option.split("=", 1) for option in options)
+
+
 def main(arguments: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     chosen = parser().parse_args(arguments)
     spark = streaming_session(build_session(), chosen.state_partitions)
+    source = pairs(chosen.source_option)
     messages = read_topic_stream(
-        spark, kafka_options(chosen.servers, chosen.topic, chosen.starting)
+        spark, kafka_options(chosen.servers, chosen.topic, chosen.starting, **source)
     )
     if chosen.tables:
         tables = ParquetTables(chosen.tables)
     else:
-        extra = dict(pair.split("=", 1) for pair in chosen.jdbc_option)
-        tables = JdbcTables({"url": chosen.jdbc_url, **extra})
+        tables = JdbcTables({"url": chosen.jdbc_url, **pairs(chosen.jdbc_option)})
     start_pipeline(
         messages,
         tables,

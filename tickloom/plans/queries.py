@@ -32,6 +32,9 @@ HOUR = timedelta(hours=1)
 DAY = timedelta(days=1)
 ONCE = {"availableNow": True}
 
+# Queries without a watermark need not take a large table in one batch.
+BOUNDED = {"maxBytesPerTrigger": str(2**40)}
+
 
 def query(name: str, **settings) -> Callable:
     """Register a query under a name, with fixed settings of the function."""
@@ -50,10 +53,14 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same files as a stream. Streams want a folder or a pattern, not a file."""
-    schema = events(spark, folder).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet")
+def event_stream(spark: SparkSession, folder: str, **options: str) -> DataFrame:
+    """The same files as a stream. Streams want a folder or a pattern, not a file.
+
+    Without further options all files form one batch: the table is in no order of
+    time, and a watermark between batches would take ticks for late.
+    """
+    reader = spark.readStream.schema(events(spark, folder).schema).options(**options)
+    return reader.parquet(f"{folder}/event[s].parquet")
 
 
 def ticks(spark: SparkSession, folder: str) -> DataFrame:
@@ -245,7 +252,7 @@ def stream_alerts(spark, folder):
 def raw_tables(spark, folder) -> ParquetTables:
     root = run_folder(spark)
     tables = ParquetTables(f"{root}/tables")
-    messages = messages_from_events(event_stream(streaming_session(spark), folder))
+    messages = messages_from_events(event_stream(streaming_session(spark), folder, **BOUNDED))
     start_raw(messages, tables, f"{root}/checkpoint", ONCE).awaitTermination()
     return tables
 
@@ -283,6 +290,6 @@ def stored_recent_alerts(spark, folder):
 def stream_latest_prices(spark, folder):
     root = run_folder(spark)
     tables = ParquetTables(f"{root}/tables")
-    stream = ticks_from_events(event_stream(streaming_session(spark), folder))
+    stream = ticks_from_events(event_stream(streaming_session(spark), folder, **BOUNDED))
     start_latest(stream, tables, f"{root}/checkpoint", ONCE).awaitTermination()
     return op.latest_prices(tables.read(spark, TICKS).select(*TICKS.columns))
