@@ -236,6 +236,15 @@ def test_small_batches_make_one_file_per_table(spark, topic, tables, tmp_path):
     assert tables.read(spark, ALERTS).count() == 40
 
 
+def test_batches_without_rows_leave_no_files(spark, topic, tables, tmp_path):
+    for clock in ("00:01:00", "00:02:00", "00:03:00", "01:00:00"):
+        topic.send(tick("A", clock))
+    run(windowed_stats(topic.ticks()), tables, tmp_path / "c")
+    folders = os.listdir(f"{tables.path(PRICE_STATS)}/query=stats")
+    assert len(folders) == 2 and "batch_id=0" in folders
+    assert starts(spark, tables) == [moment("00:00:00")]
+
+
 def test_large_batches_keep_their_tasks(make_ticks, monkeypatch):
     monkeypatch.setattr(sinks, "ROWS_PER_TASK", 10)
     ticks = make_ticks([("A", 1, 1, "00:01:00")] * 60).repartition(8)

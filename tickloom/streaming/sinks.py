@@ -149,7 +149,9 @@ def start_sink(
 
     With ``keep`` the batch is computed once, by all its tasks, and kept while it
     feeds several tables. Losing the kept blocks costs a recomputation from the
-    source, not the result.
+    source, not the result. Kept batches without rows are passed over, as most
+    batches of a window query close no window; the first is written all the same,
+    so that its tables exist.
     """
 
     def write_batch(rows: DataFrame, batch_id: int) -> None:
@@ -158,7 +160,9 @@ def start_sink(
             return
         kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write(kept, Batch(name, batch_id, kept.count()))
+            size = kept.count()
+            if size or batch_id == 0:
+                write(kept, Batch(name, batch_id, size))
         finally:
             kept.unpersist()
 
