@@ -6,7 +6,7 @@ from conftest import moment, rows
 from pyspark.sql import functions as F
 
 from tickloom.operators import detect_alerts, latest_prices, price_stats, windowed_stats
-from tickloom.schema import ALERTS, BARS, PRICE_STATS, QUARANTINE, TICKS
+from tickloom.schema import ALERTS, BARS, LATEST, PRICE_STATS, QUARANTINE, TICKS
 from tickloom.session import run_folder, streaming_session
 from tickloom.sources import (
     decode_ticks,
@@ -265,7 +265,8 @@ def test_latest_on_a_stream(spark, topic, tables, tmp_path):
     topic.send(tick("A", "00:03:00", 2.0), tick("A", "00:02:00", 9.0))
     topic.send(tick("A", "00:00:30", 7.0))
     start_latest(topic.ticks(), tables, str(tmp_path / "c"), ONCE).awaitTermination()
-    current = latest_prices(tables.read(spark, TICKS).select(*TICKS.columns))
+    current = latest_prices(tables.read(spark, LATEST))
+    assert not os.path.exists(tables.path(TICKS))
     assert [(r[0], float(r[1]), r[3]) for r in rows(current)] == [
         ("A", 2.0, moment("00:03:00")),
         ("B", 5.0, moment("00:01:00")),

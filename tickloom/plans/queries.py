@@ -14,6 +14,7 @@ from tickloom.schema import (
     ALERTS,
     BARS,
     DAILY_VIEW,
+    LATEST,
     LATEST_VIEW,
     PRICE_STATS,
     QUARANTINE,
@@ -292,4 +293,4 @@ def stream_latest_prices(spark, folder):
     tables = ParquetTables(f"{root}/tables")
     stream = ticks_from_events(event_stream(streaming_session(spark), folder, **BOUNDED))
     start_latest(stream, tables, f"{root}/checkpoint", ONCE).awaitTermination()
-    return op.latest_prices(tables.read(spark, TICKS).select(*TICKS.columns))
+    return op.latest_prices(tables.read(spark, LATEST))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 # The wire record, the target tables, the views and the alert
 # rules of the system this package stands in for. They must stay as they are for
@@ -78,7 +78,10 @@ ALERTS = Contract(
     key=("symbol", "window_start", "alert_type"),
 )
 
-# Bars and rejected rows have no table in the original layout; the shapes are ours.
+# Bars, changes of the latest prices and rejected rows have no table in the
+# original layout; the shapes are ours.
+LATEST = replace(TICKS, table="latest_prices")
+
 BARS = Contract(
     "price_bars",
     {

@@ -16,6 +16,7 @@ from tickloom.operators import (
 from tickloom.schema import (
     ALERTS,
     BARS,
+    LATEST,
     PRICE_STATS,
     TICKS,
     VOLATILITY_LIMIT,
@@ -24,7 +25,7 @@ from tickloom.schema import (
     WINDOW_WIDTH,
 )
 from tickloom.sources import decode_ticks, parse_messages
-from tickloom.streaming.sinks import Batch, ParquetTables, Tables, start_sink, store
+from tickloom.streaming.sinks import Batch, Tables, start_sink, store
 
 
 def start_raw(
@@ -71,7 +72,7 @@ def start_windows(
 
 
 def start_latest(
-    ticks: DataFrame, tables: ParquetTables, checkpoint: str, trigger: dict | None = None
+    ticks: DataFrame, tables: Tables, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Store the newest tick of each symbol whenever it changes.
 
@@ -80,7 +81,7 @@ def start_latest(
     """
 
     def write(changes: DataFrame, batch: Batch) -> None:
-        store([(changes, TICKS)], tables, batch)
+        store([(changes, LATEST)], tables, batch)
 
     return start_sink(latest_prices(ticks), "latest", checkpoint, write, "update", trigger)
 
