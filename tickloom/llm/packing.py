@@ -11,6 +11,7 @@ stored block, never from one task that sees a whole length.
 from __future__ import annotations
 
 import heapq
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,81 +21,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import stored, texts
+from tickloom.llm.wordcache import WordCache
 
 CAPACITY = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Distinct words a task remembers, and the longest word it remembers; neither changes a result.
-REMEMBERED, LONGEST = 300_000, 64
+#: Texts whose words are encoded together; no result depends on it.
+TOGETHER = 200
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
-class WordIds:
-    """Ids of texts, each distinct word encoded once.
+class TokenIds:
+    """Ids of texts by the tokenizers library.
 
-    The tokenizer's normaliser and splitter treat a space or line feed as a border that nothing
-    crosses, so the ids of a text are those of its words in a row.
+    Its normaliser and splitter treat a space or line feed as a border that nothing crosses, so
+    the ids of a text are those of its words in a row.
     """
 
     def __init__(self, path: str):
+        # a task has one core; the other ones have tasks of their own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {"": 0}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts, self.used = [0, 0], 0
-        self.bounds = np.zeros(2, np.int64)
-
-    def learn(self, words: list[str]) -> None:
-        for word, encoding in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False)):
-            ids = encoding.ids
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.known[word] = len(self.starts) - 1
-            self.starts.append(self.used)
-        self.bounds = np.array(self.starts, np.int64)
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").split(" ")
-        if max(map(len, words)) > LONGEST:
-            return self._with_long(words)
-        return self._short(words)
-
-    def _short(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        if len(known) > REMEMBERED:
-            self.clear()
-            known = self.known
-        if new := [w for w in dict.fromkeys(words) if w not in known]:
-            self.learn(new)
-        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        starts = self.bounds[at]
-        lengths = self.bounds[at + 1] - starts
-        ends = np.cumsum(lengths)
-        if not ends[-1]:
-            return np.zeros(0, np.uint32)
-        return self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1])]
-
-    def _with_long(self, words: list[str]) -> np.ndarray:
-        parts, run = [], []
-        for word in words:
-            if len(word) <= LONGEST:
-                run.append(word)
-                continue
-            if run:
-                parts.append(self._short(run))
-                run = []
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            parts.append(np.array(ids, np.uint32))
-        if run:
-            parts.append(self._short(run))
-        return np.concatenate(parts)
+        self.cache = WordCache(self._encode)
+
+    def _encode(self, words: list[str]) -> tuple[list[list[int]], list[bool]]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [x.ids for x in found], [True] * len(words)
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        return [ids for ids, _ in self.cache(split)]
 
 
 def tokenized(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
@@ -106,18 +65,17 @@ def tokenized(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None =
     path = tokenizer or public_tokenizers.path(TOKENIZER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(path)
+        encode = TokenIds(path)
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(encode(text.as_py() or ""), np.uint32(END_ID)).astype("<u4")
-                for start in range(0, len(ids), capacity):
-                    piece = ids[start : start + capacity]
-                    rows.append((doc, start, len(piece), len(ids), piece.tobytes()))
-                if len(rows) >= 4096:
-                    yield _batch(rows)
-                    rows = []
-            yield _batch(rows)
+            for part in (batch.slice(i, TOGETHER) for i in range(0, batch.num_rows, TOGETHER)):
+                rows: list[tuple] = []
+                found = encode([text.as_py() or "" for text in part.column(1)])
+                for doc, ids in zip(part.column(0).to_pylist(), found):
+                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
+                    for start in range(0, len(ids), capacity):
+                        piece = ids[start : start + capacity]
+                        rows.append((doc, start, len(piece), len(ids), piece.tobytes()))
+                yield _batch(rows)
 
     return texts(docs).mapInArrow(run, PIECES)
 
