@@ -41,6 +41,22 @@ def test_history_is_closed_and_sorted(spark, day_of_ticks, as_of):
     assert ago == [300, 299, 1, 0]
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("as_of", [NOON, NOON.replace(tzinfo=UTC)], ids=["naive", "utc"])
+def test_history_and_alerts_in_another_zone(spark, day_of_ticks, kind, as_of):
+    """Zoned and plain times are found by the same instant whatever zone the session has."""
+    day_of_ticks = day_of_ticks.withColumn("timestamp", F.col("timestamp").cast(kind))
+    alerts = day_of_ticks.selectExpr("symbol", "timestamp AS window_end", "'x' AS alert_type", "1.0D AS value")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = price_history(day_of_ticks, "A", "5min", as_of).count()
+        recent = recent_alerts(alerts, "A", as_of, timedelta(minutes=5), 99).count()
+        shown = [r.time for r in alert_feed(alerts, "A", as_of, timedelta(seconds=1), 99).orderBy("time").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (found, recent, shown) == (4, 5, ["11:59:59", "12:00:00", "12:00:00"])
+
+
 def test_history_of_a_day(day_of_ticks):
     assert price_history(day_of_ticks, "A", "1day", NOON).count() == 8
 

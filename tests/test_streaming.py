@@ -1,11 +1,14 @@
 import os
 from datetime import timedelta
+from threading import Event
+from time import sleep
 
 import pytest
 from conftest import moment, rows
 from pyspark.sql import functions as F
 
-from tickloom.operators import detect_alerts, latest_prices, price_stats, windowed_stats
+from tickloom.functions import as_instant
+from tickloom.operators import conform, detect_alerts, latest_prices, price_stats, windowed_stats
 from tickloom.schema import ALERTS, BARS, LATEST, PRICE_STATS, QUARANTINE, TICKS
 from tickloom.session import run_folder, streaming_session
 from tickloom.sources import (
@@ -15,10 +18,10 @@ from tickloom.sources import (
     publish_ticks,
     read_topic_stream,
 )
+from tickloom.streaming.job import start_raw
 from tickloom.streaming import (
     Batch,
     ParquetTables,
-    sinks,
     start_latest,
     start_pipeline,
     start_sink,
@@ -77,6 +80,7 @@ def run(stream, tables, checkpoint, name="stats"):
     def write(frame, batch):
         store([(price_stats(frame), PRICE_STATS)], tables, batch)
 
+    tables.create(stream.sparkSession, PRICE_STATS)
     query = start_sink(stream, name, str(checkpoint), write, trigger=ONCE)
     query.awaitTermination()
     return query.recentProgress
@@ -146,9 +150,9 @@ def test_stream_equals_table_up_to_the_watermark(spark, topic, tables, tmp_path)
     table = decode_ticks(spark.createDataFrame([(t,) for t in texts], "value string"))[0]
     last = moment(max(clocks))
     expected = detect_alerts(windowed_stats(table)).where(
-        F.col("window_end") <= F.lit(last - timedelta(minutes=10))
+        F.col("window_end") <= as_instant(last - timedelta(minutes=10), table.schema["timestamp"].dataType)
     )
-    expected = expected.withColumn("value", F.col("value").cast("decimal(10,2)"))
+    expected = conform(expected, ALERTS)[0]
     assert rows(tables.read(spark, ALERTS)) == rows(expected)
     assert expected.count() > 20
 
@@ -193,13 +197,37 @@ def test_failed_batch_is_repeated_without_duplicates(spark, topic, tables, tmp_p
 
 def test_ticks_are_laid_out_by_day_and_sorted(spark, make_ticks, tables):
     data = [(s, 1, 1, f"2024-01-0{d}T00:0{m}:00") for d in (2, 1) for m in (3, 1) for s in "BA"]
-    store([(make_ticks(data).coalesce(1), TICKS)], tables, Batch("raw", 0))
+    store([(make_ticks(data).coalesce(1), TICKS)], tables, Batch("raw", 0, "x"))
     for day in (1, 2):
-        path = f"{tables.path(TICKS)}/query=raw/batch_id=0/day=2024-01-0{day}"
+        path = f"{tables.path(TICKS)}/day=2024-01-0{day}/source=raw-x/batch_id=0"
         found = [(r.symbol, r.timestamp.minute) for r in spark.read.parquet(path).collect()]
         assert found == [("A", 1), ("A", 3), ("B", 1), ("B", 3)]
 
 
+def test_new_checkpoint_keeps_what_an_older_one_stored(spark, topic, tables, tmp_path):
+    """Batch ids start again at 0 with a new checkpoint."""
+    topic.send(*[tick("A", f"00:0{i}:00") for i in range(5)])
+    for checkpoint in ("first", "second"):
+        for _ in range(2):  # and a restart repeats nothing
+            start_raw(topic.messages(), tables, str(tmp_path / checkpoint), ONCE).awaitTermination()
+    assert tables.read(spark, TICKS).count() == 10
+
+
+def test_window_state_falls_between_batches(spark, topic, tables, tmp_path):
+    """Closed windows leave the state, and a split of the input changes no result."""
+    clocks = [f"{m // 60:02}:{m % 60:02}:00" for m in range(0, 360)]
+    for at in range(0, 360, 60):
+        topic.send(*[tick("A", clock, price=1 + m % 3) for m, clock in enumerate(clocks[at : at + 60])])
+    progress = run(windowed_stats(topic.ticks()), tables, tmp_path / "c")
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert len(progress) >= 6 and max(held) <= 15 and held[-1] <= 3
+    whole = ParquetTables(f"{tables.root}-whole")
+    one = Topic(spark, tmp_path / "one")
+    one.send(*[tick("A", clock, price=1 + m % 60 % 3) for m, clock in enumerate(clocks)])
+    run(windowed_stats(one.ticks()), whole, tmp_path / "d")
+    assert rows(tables.read(spark, PRICE_STATS)) == rows(whole.read(spark, PRICE_STATS))
+
+
 def test_pipeline_fills_every_table(spark, topic, tables, tmp_path):
     topic.send(tick("A", "00:01:00", 1.0, 90000), tick("A", "00:02:00", 2.0, 90000), "junk")
     topic.send(tick("ELEVENCHARS", "00:03:00"), tick("B", "01:00:00"), "{}")
@@ -217,15 +245,14 @@ def test_pipeline_fills_every_table(spark, topic, tables, tmp_path):
         ("High volume detected", 90000.0),
     ]
     assert sorted(r.reason for r in tables.read(spark, QUARANTINE).collect()) == [
-        "does not fit price_bars",
-        "does not fit price_stats",
         "does not fit stock_prices",
         "malformed message",
         "missing symbol, price, volume, timestamp",
     ]
 
 
-def test_small_batches_make_one_file_per_table(spark, topic, tables, tmp_path):
+def test_write_tasks_bound_the_files(spark, topic, tmp_path):
+    tables = ParquetTables(str(tmp_path / "tables"), tasks=1)
     topic.send(*[tick(f"S{i}", "00:01:00", volume=90000) for i in range(40)], tick("Z", "01:00:00"))
     topic.session.conf.set("spark.sql.shuffle.partitions", "6")
     for query in start_pipeline(topic.messages(), tables, str(tmp_path / "c"), ONCE):
@@ -236,21 +263,26 @@ def test_small_batches_make_one_file_per_table(spark, topic, tables, tmp_path):
     assert tables.read(spark, ALERTS).count() == 40
 
 
-def test_batches_without_rows_leave_no_files(spark, topic, tables, tmp_path):
-    for clock in ("00:01:00", "00:02:00", "00:03:00", "01:00:00"):
-        topic.send(tick("A", clock))
-    run(windowed_stats(topic.ticks()), tables, tmp_path / "c")
-    folders = os.listdir(f"{tables.path(PRICE_STATS)}/query=stats")
-    assert len(folders) == 2 and "batch_id=0" in folders
-    assert starts(spark, tables) == [moment("00:00:00")]
+def test_tables_exist_before_their_first_row(spark, topic, tables, tmp_path):
+    topic.send("junk")
+    for query in start_pipeline(topic.messages(), tables, str(tmp_path / "c"), ONCE):
+        query.awaitTermination()
+    assert [tables.read(spark, c).count() for c in (TICKS, BARS, PRICE_STATS, ALERTS, QUARANTINE)] == [0, 0, 0, 0, 1]
+    assert tables.read_state(spark, LATEST).count() == 0
 
 
-def test_large_batches_keep_their_tasks(make_ticks, monkeypatch):
-    monkeypatch.setattr(sinks, "ROWS_PER_TASK", 10)
-    ticks = make_ticks([("A", 1, 1, "00:01:00")] * 60).repartition(8)
-    sizes = {n: Batch("raw", 0, n).fold(ticks).rdd.getNumPartitions() for n in (0, 9, 35, 600)}
-    assert sizes == {0: 1, 9: 1, 35: 4, 600: 8}
-    assert Batch("raw", 0).fold(ticks).rdd.getNumPartitions() == 8
+def test_aggregates_see_what_the_table_takes(spark, topic, tables, tmp_path):
+    """A price beyond the contract is quarantined and moves no window; totals are decimal."""
+    topic.send(tick("A", "00:01:00", 100.0), tick("A", "00:02:00", 1e9), tick("B", "00:01:00", 0.1))
+    topic.send(tick("B", "00:02:00", 0.2), tick("B", "00:03:00", 0.3), tick("Z", "01:00:00"))
+    for query in start_pipeline(topic.messages(), tables, str(tmp_path / "c"), ONCE):
+        query.awaitTermination()
+    assert [(r.symbol, r.ma, float(r.high)) for r in tables.read(spark, BARS).orderBy("symbol").collect()] == [
+        ("A", 100.0, 100.0), ("B", 0.6 / 3, 0.3),
+    ]
+    assert [r.symbol for r in tables.read(spark, ALERTS).collect()] == ["B"]
+    rejected = tables.read(spark, QUARANTINE).collect()
+    assert [(r.value, r.reason) for r in rejected] == [(tick("A", "00:02:00", 1e9), "does not fit stock_prices")]
 
 
 def test_queries_do_not_replace_each_others_batches(spark, make_ticks, tables):
@@ -260,12 +292,29 @@ def test_queries_do_not_replace_each_others_batches(spark, make_ticks, tables):
     assert [r[0] for r in rows(tables.read(spark, TICKS))] == ["other", "raw"]
 
 
+def source_of(tables, contract):
+    return next(n for n in os.listdir(tables.path(contract)) if n.startswith("source="))
+
+
+def test_latest_over_checkpoints(spark, topic, tables, tmp_path):
+    for n, clock in enumerate(("00:02:00", "00:01:00")):
+        topic.send(tick("A", clock, 1.0 + n))
+        one = Topic(spark, tmp_path / f"t{n}")
+        one.send(tick("A", clock, 1.0 + n))
+        start_latest(one.ticks(), tables, str(tmp_path / f"c{n}"), ONCE).awaitTermination()
+    assert tables.read_state(spark, LATEST).count() == 2
+    assert [float(r.price) for r in latest_prices(tables.read_state(spark, LATEST)).collect()] == [1.0]
+
+
 def test_latest_on_a_stream(spark, topic, tables, tmp_path):
     topic.send(tick("A", "00:01:00", 1.0), tick("B", "00:01:00", 5.0))
     topic.send(tick("A", "00:03:00", 2.0), tick("A", "00:02:00", 9.0))
     topic.send(tick("A", "00:00:30", 7.0))
     start_latest(topic.ticks(), tables, str(tmp_path / "c"), ONCE).awaitTermination()
-    current = latest_prices(tables.read(spark, LATEST))
+    state = tables.read_state(spark, LATEST)
+    assert state.count() == 2
+    assert len([n for n in os.listdir(f"{tables.path(LATEST)}/" + source_of(tables, LATEST)) if n.startswith("batch_id")]) <= 2
+    current = latest_prices(state)
     assert not os.path.exists(tables.path(TICKS))
     assert [(r[0], float(r[1]), r[3]) for r in rows(current)] == [
         ("A", 2.0, moment("00:03:00")),
@@ -288,6 +337,21 @@ def test_wait_stops_the_other_queries(topic, tables, tmp_path):
     assert topic.session.streams.active == []
 
 
+def test_stop_lets_the_running_batch_end(topic, tmp_path):
+    begun, ended, stop = [], [], Event()
+
+    def slow(frame, batch):
+        begun.append(batch.id)
+        stop.set()
+        sleep(2)
+        ended.append(batch.id)
+
+    topic.send(tick("A", "00:01:00"))
+    start_sink(topic.ticks(), "slow", str(tmp_path / "s"), slow)
+    wait(topic.session, stop)
+    assert begun == ended == [0] and topic.session.streams.active == []
+
+
 def test_published_ticks_come_back(spark, make_ticks, tmp_path):
     sent = make_ticks([("A", "1.50", 1, "00:01:00.000001"), ("B", "2.25", 2, "00:02:00")])
     path = str(tmp_path / "out")

@@ -1,5 +1,6 @@
+import json
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -29,6 +30,14 @@ BAD = {
     field(volume="3.7"): "malformed message",
     field(volume="99999999999"): "malformed message",
     field(timestamp='"bad"'): "malformed message",
+    GOOD + " and more": "malformed message",
+    GOOD + GOOD: "malformed message",
+    f"{GOOD}, {GOOD}": "malformed message",
+    f"[{GOOD}]": "malformed message",
+    GOOD + "]": "malformed message",
+    GOOD + ',"x":1': "malformed message",
+    GOOD + "}": "malformed message",
+    "": "malformed message",
     field(price="NaN"): "price is not a number",
     field(price="Infinity"): "price is not a number",
     field(symbol=None): "missing symbol",
@@ -73,6 +82,29 @@ def test_naive_times_are_utc_in_any_session(spark, zone):
     assert seconds == {1704110400}
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_round_trip_in_any_session(spark, make_ticks, zone, kind):
+    """Also for local times that a change of clocks leaves out or has twice."""
+    times = ["2024-03-10T02:30:00.000001", "2024-03-10T07:00:00", "2024-11-03T01:30:00", "2024-11-03T05:30:00"]
+    sent = make_ticks([("A", "1.00", n, t) for n, t in enumerate(times)])
+    sent = sent.withColumn("timestamp", sent.timestamp.cast(kind))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        if kind == "timestamp":
+            sent = make_ticks([("A", "1.00", n, t) for n, t in enumerate(times)]).selectExpr(
+                "symbol", "price", "volume", "timestamp_micros(unix_micros(to_timestamp(string(timestamp) || 'Z'))) AS timestamp"
+            )
+        texts = [json.loads(r.value)["timestamp"] for r in encode_ticks(sent).orderBy("value").collect()]
+        back = decode_ticks(encode_ticks(sent))[0].selectExpr("unix_micros(timestamp)").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    full = sorted(t if "." in t else t + ".000000" for t in times)
+    assert sorted(texts) == full
+    epoch = datetime(1970, 1, 1)
+    assert sorted(r[0] for r in back) == [round((datetime.fromisoformat(t) - epoch) / timedelta(microseconds=1)) for t in full]
+
+
 def test_round_trip_keeps_microseconds(spark, make_ticks):
     sent = make_ticks([("A", "6.55", 3, "00:00:07.179575"), ("B", "6.50", 4, "00:00:00")])
     ticks, _ = decode_ticks(encode_ticks(sent))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 import logging
+import signal
+from threading import Event
 
 from tickloom.schema import TOPIC, VOLATILITY_LIMIT, VOLUME_LIMIT, WATERMARK_DELAY, WINDOW_WIDTH
 from tickloom.session import build_session, streaming_session
@@ -30,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--volatility-limit", type=float, default=VOLATILITY_LIMIT)
     options.add_argument("--volume-limit", type=float, default=VOLUME_LIMIT)
     options.add_argument("--state-partitions", type=int, help="fixed by the first start")
+    options.add_argument("--write-tasks", type=int, help="tasks, and so files, per table and batch")
     options.add_argument("--every", help="trigger interval such as '30 seconds'")
     return options
 
@@ -38,6 +41,14 @@ def pairs(options: list[str]) -> dict[str, str]:
     return dict(option.split("=", 1) for option in options)
 
 
+def stop_on_signals() -> Event:
+    """An event that SIGTERM and SIGINT set."""
+    stop = Event()
+    for number in (signal.SIGTERM, signal.SIGINT):
+        signal.signal(number, lambda *_: stop.set())
+    return stop
+
+
 def main(arguments: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     chosen = parser().parse_args(arguments)
@@ -47,9 +58,9 @@ def main(arguments: list[str] | None = None) -> None:
         spark, kafka_options(chosen.servers, chosen.topic, chosen.starting, **source)
     )
     if chosen.tables:
-        tables = ParquetTables(chosen.tables)
+        tables = ParquetTables(chosen.tables, chosen.write_tasks)
     else:
-        tables = JdbcTables({"url": chosen.jdbc_url, **pairs(chosen.jdbc_option)})
+        tables = JdbcTables({"url": chosen.jdbc_url, **pairs(chosen.jdbc_option)}, chosen.write_tasks)
     start_pipeline(
         messages,
         tables,
@@ -60,7 +71,7 @@ def main(arguments: list[str] | None = None) -> None:
         volatility_limit=chosen.volatility_limit,
         volume_limit=chosen.volume_limit,
     )
-    wait(spark)
+    wait(spark, stop_on_signals())
 
 
 if __name__ == "__main__":

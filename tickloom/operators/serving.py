@@ -23,7 +23,7 @@ def price_history(
     """A symbol's ticks from ``as_of`` back over the chosen range, oldest first.
 
     Both ends belong to the range. Where the table is laid out by ``day``, only
-    the days of the range are listed.
+    files of the range's days are read.
     """
     end = as_instant(as_of, ticks.schema["timestamp"].dataType)
     start = end - F.lit(lookback(choice))
@@ -59,7 +59,7 @@ def alert_feed(
 ) -> DataFrame:
     """Recent alerts as shown to a reader: time of day, type, two-decimal value."""
     return recent_alerts(alerts, symbol, as_of, within, limit).select(
-        clock_time(F.col("timestamp")).alias("time"),
+        clock_time(F.col("timestamp"), alerts.schema["window_end"].dataType).alias("time"),
         "alert_type",
         two_decimals(F.col("value")).alias("value"),
     )

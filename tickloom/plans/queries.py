@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import operators as op
-from tickloom.operators.windows import WINDOW_KEY
+from tickloom.functions import as_instant
 from tickloom.schema import (
     ALERTS,
     BARS,
@@ -21,9 +22,17 @@ from tickloom.schema import (
     TICKS,
 )
 from tickloom.session import run_folder, streaming_session, use_utc
-from tickloom.sources import decode_ticks, encode_ticks, messages_from_events, ticks_from_events
-from tickloom.streaming import Batch, ParquetTables, start_latest, start_sink
-from tickloom.streaming.job import start_raw, start_windows
+from tickloom.sources import (
+    decode_ticks,
+    encode_ticks,
+    messages_from_events,
+    read_alerts,
+    read_ticks,
+    read_topic_stream,
+    ticks_from_events,
+)
+from tickloom.streaming import ParquetTables, start_latest, start_pipeline
+from tickloom.streaming.job import sound_ticks, start_raw, start_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +42,10 @@ HOUR = timedelta(hours=1)
 DAY = timedelta(days=1)
 ONCE = {"availableNow": True}
 
-# Queries without a watermark need not take a large table in one batch.
+#: Bytes of files in a batch of the streams that take the table in any order.
 BOUNDED = {"maxBytesPerTrigger": str(2**40)}
+#: Ranges of time in which streams of windows take the table, each a batch at least.
+RANGES = 4
 
 
 def query(name: str, **settings) -> Callable:
@@ -55,11 +66,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str, **options: str) -> DataFrame:
-    """The same files as a stream. Streams want a folder or a pattern, not a file.
-
-    Without further options all files form one batch: the table is in no order of
-    time, and a watermark between batches would take ticks for late.
-    """
+    """The same files as a stream, in no order of time. Streams want a folder or a pattern, not a file."""
     reader = spark.readStream.schema(events(spark, folder).schema).options(**options)
     return reader.parquet(f"{folder}/event[s].parquet")
 
@@ -214,40 +221,77 @@ def trend(spark, folder):
     return op.trend(stored(spark, op.closes(ticks(spark, folder), "1 hour")))
 
 
-def drain(spark, stream, columns) -> DataFrame:
-    """Run a stream over all there is and read back what it wrote."""
-    root = run_folder(spark)
-
-    def write(rows: DataFrame, batch: Batch) -> None:
-        target = f"{root}/out/batch_id={batch.id}"
-        naive(rows.select(*columns)).write.mode("overwrite").parquet(target)
-
-    sink = start_sink(stream, "drain", f"{root}/checkpoint", write, trigger=ONCE, keep=False)
-    sink.awaitTermination()
-    return spark.read.parquet(f"{root}/out").select(*columns)
-
-
-def closed_windows(spark, folder) -> DataFrame:
-    sibling = streaming_session(spark)
-    return op.windowed_stats(ticks_from_events(event_stream(sibling, folder)))
+def in_time_order(spark, folder: str, start: Callable[[DataFrame, str], list]) -> None:
+    """Send the table to a topic range by range, and have ``start``'s queries take each range.
 
+    The topic is a folder of messages. Queries go on from their checkpoints, so windows close and
+    leave the state while later ranges come; no batch holds more than a range.
+    """
+    root = run_folder(spark)
+    topic, table = f"{root}/topic", events(spark, folder)
+    first, last = table.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        first = last = datetime(1970, 1, 1)
+    width = (last - first) / RANGES + timedelta(microseconds=1)
+    for turn in range(RANGES):
+        begin, end = first + turn * width, first + (turn + 1) * width
+        kind = table.schema["ts"].dataType
+        part = table.where((F.col("ts") >= as_instant(begin, kind)) & (F.col("ts") < as_instant(end, kind)))
+        messages_from_events(part).write.mode("append").parquet(topic)
+        stream = read_topic_stream(streaming_session(spark), {}, "parquet", "value binary", topic)
+        for running in start(stream, f"{root}/checkpoint"):
+            running.awaitTermination()
+
+
+def window_tables(spark, folder) -> ParquetTables:
+    """Bars, stats and alerts as the job's windowed query stores them."""
+    tables = ParquetTables(f"{run_folder(spark)}/tables")
+    in_time_order(
+        spark,
+        folder,
+        lambda stream, checkpoint: [start_windows(sound_ticks(stream), tables, checkpoint, trigger=ONCE)],
+    )
+    return tables
 
-@query("stream_price_bars")
-def stream_price_bars(spark, folder):
-    columns = (*WINDOW_KEY, "ma", "high", "low", "avg_volume")
-    return drain(spark, op.price_bars(closed_windows(spark, folder)), columns)
 
+@query("stream_price_bars", contract=BARS)
+@query("stream_price_stats", contract=PRICE_STATS)
+@query("stream_alerts", contract=ALERTS)
+def stream_windows(spark, folder, contract):
+    return window_tables(spark, folder).read(spark, contract)
 
-@query("stream_price_stats")
-def stream_price_stats(spark, folder):
-    columns = (*WINDOW_KEY, "price_range", "volatility")
-    return drain(spark, op.price_stats(closed_windows(spark, folder)), columns)
 
+@query("job_tables")
+def job_tables(spark, folder):
+    """Every row of every table that the whole job stores."""
+    tables = ParquetTables(f"{run_folder(spark)}/tables")
+    in_time_order(
+        spark,
+        folder,
+        lambda stream, checkpoint: start_pipeline(stream, tables, checkpoint, ONCE),
+    )
 
-@query("stream_alerts")
-def stream_alerts(spark, folder):
-    columns = (*WINDOW_KEY, "alert_type", "value")
-    return drain(spark, op.detect_alerts(closed_windows(spark, folder)), columns)
+    def shown(rows: DataFrame, name: str, at: str, note: str, value: str) -> DataFrame:
+        return rows.select(
+            F.lit(name).alias("stored_in"),
+            F.col("symbol"),
+            F.col(at).alias("at"),
+            F.expr(note).alias("note"),
+            F.col(value).cast("double").alias("value"),
+        )
+
+    rejected = tables.read(spark, QUARANTINE).withColumns(
+        {"symbol": F.lit(None).cast("string"), "at": F.lit(None).cast("timestamp_ntz"), "none": F.lit(None)}
+    )
+    parts = [
+        shown(tables.read(spark, TICKS), "ticks", "timestamp", "string(volume)", "price"),
+        shown(tables.read(spark, BARS), "bars", "window_start", "string(high)", "low"),
+        shown(tables.read(spark, PRICE_STATS), "stats", "window_start", "string(price_range)", "volatility"),
+        shown(tables.read(spark, ALERTS), "alerts", "window_start", "alert_type", "value"),
+        shown(op.latest_prices(tables.read_state(spark, LATEST)), "latest", "timestamp", "string(volume)", "price"),
+        shown(rejected, "quarantine", "at", "concat(reason, ': ', value)", "none"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def raw_tables(spark, folder) -> ParquetTables:
@@ -271,19 +315,24 @@ def stream_quarantine(spark, folder):
 @query("stored_price_history_1day")
 def stored_price_history(spark, folder):
     """History from the table the stream wrote: by day, sorted by symbol and time."""
+    tables = raw_tables(spark, folder)
     return op.price_history(
-        raw_tables(spark, folder).read(spark, TICKS), SYMBOL, "1day", newest(spark, folder)
+        read_ticks(spark, tables.path(TICKS)), SYMBOL, "1day", newest(spark, folder)
     )
 
 
+@query("stored_view_latest_prices", view=LATEST_VIEW)
+@query("stored_view_daily_stats", view=DAILY_VIEW)
+def stored_view(spark, folder, view):
+    """The views over the table the stream wrote."""
+    op.create_views(read_ticks(spark, raw_tables(spark, folder).path(TICKS)))
+    return spark.sql(f"SELECT * FROM {view}")
+
+
 @query("stored_recent_alerts_1day")
 def stored_recent_alerts(spark, folder):
     """Recent alerts from the table the stream wrote."""
-    root = run_folder(spark)
-    tables = ParquetTables(f"{root}/tables")
-    stream = ticks_from_events(event_stream(streaming_session(spark), folder))
-    start_windows(stream, tables, f"{root}/checkpoint", trigger=ONCE).awaitTermination()
-    stored_alerts = tables.read(spark, ALERTS)
+    stored_alerts = read_alerts(spark, window_tables(spark, folder).path(ALERTS))
     return op.recent_alerts(stored_alerts, SYMBOL, newest(spark, folder), DAY)
 
 
@@ -291,6 +340,6 @@ def stored_recent_alerts(spark, folder):
 def stream_latest_prices(spark, folder):
     root = run_folder(spark)
     tables = ParquetTables(f"{root}/tables")
-    stream = ticks_from_events(event_stream(streaming_session(spark), folder, **BOUNDED))
-    start_latest(stream, tables, f"{root}/checkpoint", ONCE).awaitTermination()
-    return op.latest_prices(tables.read(spark, LATEST))
+    messages = messages_from_events(event_stream(streaming_session(spark), folder, **BOUNDED))
+    start_latest(sound_ticks(messages), tables, f"{root}/checkpoint", ONCE).awaitTermination()
+    return op.latest_prices(tables.read_state(spark, LATEST))

@@ -79,15 +79,21 @@ FROM ticks GROUP BY ALL"""
 MESSAGE = """'{"symbol":"' || symbol || '","price":' || price || ',"volume":' || volume
       || ',"timestamp":"' || strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '"}'"""
 
-QUARANTINE = f"""WITH {TICKS}, messages AS (SELECT *, {MESSAGE} AS message FROM ticks)
-SELECT CASE WHEN volume < 25000 THEN rtrim(message, '}}')
-            WHEN volume < 50000 THEN symbol
-            WHEN volume < 75000
-            THEN regexp_replace(message, '"price":[\\d.]+', '"price":"high"')
-            ELSE '{{}}' END AS value,
-       CASE WHEN volume < 75000 THEN 'malformed message'
-            ELSE 'missing symbol, price, volume, timestamp' END AS reason
-FROM messages WHERE symbol = 'error'"""
+NUMBERED = TICKS.replace("ticks AS (", "numbered AS (").replace("SELECT event_type", "SELECT event_id, event_type")
+# Ticks whose messages are sound, as the tick table has them.
+SOUND = f"""{NUMBERED}, ticks AS (
+  SELECT symbol, TRY_CAST(CAST(price AS VARCHAR) AS DECIMAL(10,2)) AS price, volume, timestamp
+  FROM numbered WHERE event_id % 10 <> 0)"""
+
+QUARANTINE = f"""WITH {NUMBERED}, messages AS (
+  SELECT *, event_id // 10 % 6 AS turn, {MESSAGE} AS message FROM numbered WHERE event_id % 10 = 0)
+SELECT CASE turn WHEN 0 THEN rtrim(message, '}}')
+            WHEN 1 THEN symbol
+            WHEN 2 THEN regexp_replace(message, '"price":[\\d.]+', '"price":"high"')
+            WHEN 3 THEN '{{}}' WHEN 4 THEN message || ' and more' ELSE message || message END AS value,
+       CASE turn WHEN 3 THEN 'missing symbol, price, volume, timestamp'
+            ELSE 'malformed message' END AS reason
+FROM messages"""
 
 CLOSES = f"""{TICKS}, closes AS (
   SELECT DISTINCT ON (symbol, window_start) symbol,
@@ -120,15 +126,43 @@ SELECT symbol, window_start, window_end, close,
 FROM sums"""
 
 
-def _conformed(source: str, table: str, columns: dict[str, str]) -> str:
-    cast = ", ".join(f"TRY_CAST({name} AS {kind}) AS {name}" for name, kind in columns.items())
+def _conformed(source: str, table: str, columns: dict[str, str], more: str = "") -> str:
+    """Rows cast to a contract; two decimals by the number's text, half up, as binary ties differ."""
+    cast = ", ".join(
+        f"TRY_CAST({f'CAST({name} AS VARCHAR)' if kind == TWO_PLACES else name} AS {kind}) AS {name}"
+        for name, kind in columns.items()
+    )
     whole = " AND ".join(f"{name} IS NOT NULL" for name in columns)
-    return f"WITH {source} SELECT * FROM (SELECT {cast} FROM {table}) WHERE {whole}"
+    return f"WITH {source} SELECT * FROM (SELECT {cast} FROM {table} {more}) WHERE {whole}"
 
 
 TWO_PLACES = "DECIMAL(10,2)"
+FITTING_TICKS = {
+    "symbol": "VARCHAR", "price": TWO_PLACES, "volume": "INTEGER", "timestamp": "TIMESTAMP",
+}
 WINDOW = {"symbol": "VARCHAR", "window_start": "TIMESTAMP", "window_end": "TIMESTAMP"}
 
+FITTING_BARS = {**WINDOW, "ma": "DOUBLE", "high": TWO_PLACES, "low": TWO_PLACES, "avg_volume": "DOUBLE"}
+FITTING_STATS = {**WINDOW, "price_range": TWO_PLACES, "volatility": TWO_PLACES}
+FITTING_ALERTS = {**WINDOW, "alert_type": "VARCHAR", "value": TWO_PLACES}
+# What the streams store: aggregates of sound messages, of windows that the watermark closed.
+SOUND_ALERTS = _alerts().replace(TICKS, SOUND)
+STORED_BARS = _conformed(SOUND_ALERTS, "stats", FITTING_BARS, f"WHERE {CLOSED}")
+STORED_STATS = _conformed(SOUND_ALERTS, "stats", FITTING_STATS, f"WHERE {CLOSED}")
+STORED_ALERTS = _conformed(SOUND_ALERTS, "alerts", FITTING_ALERTS, f"WHERE {CLOSED}")
+STORED_TICKS = f"WITH {SOUND} SELECT * FROM ticks"
+
+
+JOB = f"""WITH t AS ({STORED_TICKS}), b AS ({STORED_BARS}), s AS ({STORED_STATS}), a AS ({STORED_ALERTS}),
+l AS (SELECT DISTINCT ON (symbol) * FROM t ORDER BY symbol, timestamp DESC, volume DESC, price DESC),
+q AS ({QUARANTINE})
+SELECT 'ticks' AS stored_in, symbol, timestamp AS at, CAST(volume AS VARCHAR) AS note, CAST(price AS DOUBLE) AS value FROM t
+UNION ALL SELECT 'bars', symbol, window_start, CAST(high AS VARCHAR), CAST(low AS DOUBLE) FROM b
+UNION ALL SELECT 'stats', symbol, window_start, CAST(price_range AS VARCHAR), CAST(volatility AS DOUBLE) FROM s
+UNION ALL SELECT 'alerts', symbol, window_start, alert_type, CAST(value AS DOUBLE) FROM a
+UNION ALL SELECT 'latest', symbol, timestamp, CAST(volume AS VARCHAR), CAST(price AS DOUBLE) FROM l
+UNION ALL SELECT 'quarantine', NULL, NULL, reason || ': ' || value, NULL FROM q"""
+
 SQL: dict[str, str] = {
     "price_bars_5m": f"WITH {_stats('5 minutes')} SELECT {BARS} FROM stats",
     "price_bars_1h": f"WITH {_stats('1 hour')} SELECT {BARS} FROM stats",
@@ -152,44 +186,30 @@ SQL: dict[str, str] = {
     "recent_alerts_1day": f"WITH {_alerts()} {_recent('1 day')}",
     "alert_feed": _feed("1 hour"),
     "alert_feed_1day": _feed("1 day"),
-    "decode_ticks": f"""WITH {TICKS}
-SELECT symbol, CAST(price AS DOUBLE) AS price, volume, timestamp
-FROM ticks WHERE symbol <> 'error'""",
+    "decode_ticks": f"""WITH {SOUND}
+SELECT symbol, CAST(price AS DOUBLE) AS price, volume, timestamp FROM ticks""",
     "quarantine_ticks": QUARANTINE,
     "encode_decode_roundtrip": f"WITH {TICKS} SELECT symbol, price, volume, timestamp FROM ticks",
-    "conform_ticks": _conformed(
-        TICKS,
-        "ticks",
-        {"symbol": "VARCHAR", "price": TWO_PLACES, "volume": "INTEGER", "timestamp": "TIMESTAMP"},
-    ),
-    "conform_price_stats": _conformed(
-        _stats("5 minutes"),
-        "stats",
-        {**WINDOW, "price_range": TWO_PLACES, "volatility": TWO_PLACES},
-    ),
-    "conform_alerts": _conformed(
-        _alerts(), "alerts", {**WINDOW, "alert_type": "VARCHAR", "value": TWO_PLACES}
-    ),
-    "conform_price_bars": _conformed(
-        _stats("5 minutes"),
-        "stats",
-        {**WINDOW, "ma": "DOUBLE", "high": TWO_PLACES, "low": TWO_PLACES, "avg_volume": "DOUBLE"},
-    ),
+    "conform_ticks": _conformed(TICKS, "ticks", FITTING_TICKS),
+    "conform_price_stats": _conformed(_stats("5 minutes"), "stats", FITTING_STATS),
+    "conform_alerts": _conformed(_alerts(), "alerts", FITTING_ALERTS),
+    "conform_price_bars": _conformed(_stats("5 minutes"), "stats", FITTING_BARS),
     "rsi_1h": RSI,
     "trend_1h": TREND,
-    "stream_price_bars": f"WITH {_stats('5 minutes')} SELECT {BARS} FROM stats WHERE {CLOSED}",
-    "stream_price_stats": f"WITH {_stats('5 minutes')} SELECT {STATS} FROM stats WHERE {CLOSED}",
-    "stream_alerts": f"WITH {_alerts()} SELECT {ALERTS} FROM alerts WHERE {CLOSED}",
-    "stream_raw_ticks": _conformed(
-        TICKS,
-        "ticks",
-        {"symbol": "VARCHAR", "price": TWO_PLACES, "volume": "INTEGER", "timestamp": "TIMESTAMP"},
-    )
-    + " AND symbol <> 'error'",
+    "stream_price_bars": STORED_BARS,
+    "stream_price_stats": STORED_STATS,
+    "stream_alerts": STORED_ALERTS,
+    "job_tables": JOB,
+    "stream_raw_ticks": STORED_TICKS,
     "stream_quarantine": QUARANTINE,
-    "stored_price_history_1day": f"""SELECT timestamp, CAST(price AS DECIMAL(10,2)) AS price, volume
-FROM ({_history('1 day')}) ORDER BY timestamp""",
-    "stored_recent_alerts_1day": f"WITH {_alerts()} "
-    + _recent("1 day", "CAST(value AS DECIMAL(10,2))", f"AND {CLOSED}"),
-    "stream_latest_prices": LATEST,
+    "stored_price_history_1day": f"""WITH s AS ({STORED_TICKS}), n AS (SELECT max(ts) AS now FROM events)
+SELECT timestamp, price, volume FROM s, n
+WHERE symbol = 'view' AND timestamp BETWEEN now - INTERVAL '1 day' AND now ORDER BY timestamp""",
+    "stored_view_latest_prices": LATEST.replace(TICKS, SOUND),
+    "stored_view_daily_stats": DAILY.replace(TICKS, SOUND),
+    "stored_recent_alerts_1day": f"""WITH s AS ({STORED_ALERTS}), n AS (SELECT max(ts) AS now FROM events)
+SELECT window_end AS timestamp, alert_type, value FROM s, n
+WHERE symbol = 'view' AND window_end >= now - INTERVAL '1 day'
+ORDER BY timestamp DESC, alert_type LIMIT {ALERT_ROWS}""",
+    "stream_latest_prices": LATEST.replace(TICKS, SOUND),
 }

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field, replace
 # The wire record, the target tables, the views and the alert
 # rules of the system this package stands in for. They must stay as they are for
 # results and stored tables to match.
-TICK_DDL = "symbol STRING, price DOUBLE, volume INT, timestamp TIMESTAMP"
+TICK_FIELDS = "symbol: STRING, price: DOUBLE, volume: INT, timestamp: TIMESTAMP"
 TOPIC = "stock_data"
 TICK_TABLE = "stock_prices"
 STATS_TABLE = "price_stats"

@@ -54,8 +54,8 @@ def streaming_session(spark: SparkSession, partitions: int | None = None) -> Spa
 def run_folder(spark: SparkSession) -> str:
     """A new folder for one run's checkpoints and tables.
 
-    It lies under ``spark.checkpoint.dir``, which all executors must see. Only a
-    local master may go without that setting and gets a temporary folder.
+    It lies under ``spark.checkpoint.dir``, which all executors must see. Only where that
+    is unset and the master is local, as in tests, a temporary folder does.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -63,3 +63,9 @@ def run_folder(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="run-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies; a missing one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.sources.wire import tick_text
@@ -13,29 +13,36 @@ def ticks_from_events(events: DataFrame) -> DataFrame:
 
     A stream gets zoned timestamps, which watermarks need.
     """
+    return events.select(*_tick_columns(events))
+
+
+def _tick_columns(events: DataFrame) -> list[Column]:
     moment = F.col("ts").cast("timestamp") if events.isStreaming else F.col("ts")
     level = F.regexp_extract("props", r'"k": (\d+)', 1).try_cast("int")
-    return events.select(
+    return [
         F.col("event_type").alias("symbol"),
         F.col("value").cast("decimal(18,2)").alias("price"),
         (level * 1000).alias("volume"),
         moment.alias("timestamp"),
-    )
+    ]
 
 
 def messages_from_events(events: DataFrame) -> DataFrame:
-    """A topic message for every event, with those of type ``error`` damaged.
+    """A topic message for every event; that of every tenth ``event_id`` is damaged.
 
-    The damage depends on the volume: cut off, text instead of JSON, a wrongly
-    typed price, or an object without the fields of a tick.
+    In turn: cut off, text instead of JSON, a wrongly typed price, an object without the fields of a
+    tick, something after the object, and two objects.
     """
-    ticks = ticks_from_events(events)
-    text, volume = F.col("text"), F.col("volume")
+    numbered = events.select("event_id", *_tick_columns(events))
+    numbered = numbered.withColumn("text", tick_text(numbered))
+    text, turn = F.col("text"), F.expr("event_id div 10 % 6")
     damaged = (
-        F.when(volume < 25000, F.rtrim(text, F.lit("}")))
-        .when(volume < 50000, F.col("symbol"))
-        .when(volume < 75000, F.regexp_replace(text, r'"price":[\d.]+', '"price":"high"'))
-        .otherwise("{}")
+        F.when(turn == 0, F.rtrim(text, F.lit("}")))
+        .when(turn == 1, F.col("symbol"))
+        .when(turn == 2, F.regexp_replace(text, r'"price":[\d.]+', '"price":"high"'))
+        .when(turn == 3, "{}")
+        .when(turn == 4, F.concat(text, F.lit(" and more")))
+        .otherwise(F.concat(text, text))
     )
-    value = F.when(F.col("symbol") == "error", damaged).otherwise(text)
-    return ticks.withColumn("text", tick_text(ticks)).select(value.cast("binary").alias("value"))
+    value = F.when(F.col("event_id") % 10 == 0, damaged).otherwise(text)
+    return numbered.select(value.cast("binary").alias("value"))

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tickloom.functions import iso_text
-from tickloom.schema import TICK_DDL
+from tickloom.schema import TICK_FIELDS
 
-_BROKEN = "_broken"
+_BROKEN, _ENDED, _ALONE = "_broken", "_ended", "_alone"
 _FIELDS = ("symbol", "price", "volume", "timestamp")
 
 
@@ -20,32 +20,41 @@ def _reason() -> Column:
     """
     missing = [F.when(F.col(name).isNull(), F.lit(name)) for name in _FIELDS]
     endless = F.isnan("price") | (F.abs("price") == F.lit(float("inf")))
+    malformed = "malformed message"
     return (
         F.when(F.col("value").isNull(), "empty message")
-        .when(F.col(_BROKEN).isNotNull(), "malformed message")
+        .when(F.col(_BROKEN).isNotNull() | ~F.coalesce(_ENDED, F.lit(False)), malformed)
+        .when(endless, "price is not a number")
+        .when(~F.coalesce(_ALONE, F.lit(False)), malformed)
         .when(
             F.coalesce(*missing).isNotNull(),
             F.concat(F.lit("missing "), F.concat_ws(", ", *missing)),
         )
-        .when(endless, "price is not a number")
     )
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Tick fields next to the message ``value`` and a ``reason``, one row each.
 
+    Spark's parser stops after the first JSON value and says nothing of what follows. So a message
+    is parsed as a member of an object with another member behind it, which is lost if the message holds
+    anything but one value; and it must make an array of one element.
+
     The record is spread by ``inline`` rather than by ``data.*``: later filters
     cannot be moved below a generator, where they would parse the message again
     for every field they look at.
     """
-    record = F.from_json(
-        F.col("value"),
-        f"{TICK_DDL}, {_BROKEN} STRING",
+    text = F.col("value")
+    framed = F.from_json(
+        F.concat(F.lit('{"tick":'), text, F.lit(f',"{_ENDED}":true}}')),
+        f"tick STRUCT<{TICK_FIELDS}>, {_ENDED} BOOLEAN, {_BROKEN} STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN, "timeZone": "UTC"},
     )
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
     return (
-        messages.select(F.col("value").cast("string").alias("value"))
-        .select("value", F.inline(F.array(record)))
+        messages.select(text.cast("string").alias("value"))
+        .select("value", alone.alias(_ALONE), F.inline(F.array(framed)))
+        .select(*[F.col(f"tick.{name}").alias(name) for name in _FIELDS], "value", _BROKEN, _ENDED, _ALONE)
         .select(*_FIELDS, "value", _reason().alias("reason"))
     )
 
@@ -63,7 +72,7 @@ def tick_text(ticks: DataFrame) -> Column:
     price = F.col("price")
     if isinstance(ticks.schema["price"].dataType, DoubleType):
         price = F.round(price, 2).alias("price")
-    moment = iso_text(F.col("timestamp")).alias("timestamp")
+    moment = iso_text(F.col("timestamp"), ticks.schema["timestamp"].dataType).alias("timestamp")
     return F.to_json(F.struct("symbol", price, "volume", moment))
 
 

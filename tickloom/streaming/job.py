@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from threading import Event
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,8 +16,10 @@ from tickloom.operators import (
     price_stats,
     windowed_stats,
 )
+from tickloom.operators.contracts import cast_to, conform, fits, misfit
 from tickloom.schema import (
     ALERTS,
+    QUARANTINE,
     BARS,
     LATEST,
     PRICE_STATS,
@@ -24,27 +29,43 @@ from tickloom.schema import (
     WATERMARK_DELAY,
     WINDOW_WIDTH,
 )
-from tickloom.sources import decode_ticks, parse_messages
+from tickloom.sources import parse_messages
 from tickloom.streaming.sinks import Batch, Tables, start_sink, store
 
 
+def judged(messages: DataFrame) -> DataFrame:
+    """Parsed messages; ``reason`` also says which break the contract of ticks."""
+    parsed = parse_messages(messages)
+    broken = F.when(~fits(parsed, TICKS), F.lit(misfit(TICKS)))
+    return parsed.withColumn("reason", F.coalesce("reason", broken))
+
+
+def sound_ticks(messages: DataFrame) -> DataFrame:
+    """Ticks that the raw table takes, in its types but for the zone that watermarks need.
+
+    Aggregates see the same rows and the same decimals as the table, so their totals are exact.
+    """
+    good = judged(messages).where(F.col("reason").isNull())
+    kinds = {**TICKS.columns, "timestamp": "TIMESTAMP"}
+    return good.select(*[F.col(name).cast(kind).alias(name) for name, kind in kinds.items()])
+
+
 def start_raw(
     messages: DataFrame, tables: Tables, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Store ticks and quarantine the rest; each message is parsed once.
+    """Store ticks, and quarantine the other messages whole.
 
-    The text of a good message is let go, so that a kept batch holds ticks only.
+    Both tables read and parse the batch: twice the work on a plain scan, but a batch of
+    any size needs no room on the executors.
     """
+    tables.create(messages.sparkSession, TICKS, QUARANTINE)
 
-    def write(parsed: DataFrame, batch: Batch) -> None:
-        bad = F.col("reason").isNotNull()
-        ticks = parsed.where(~bad).select(*TICKS.columns)
-        rejected = parsed.where(bad).select("value", "reason")
-        store([(ticks, TICKS)], tables, batch, rejected)
+    def write(rows: DataFrame, batch: Batch) -> None:
+        good = F.col("reason").isNull()
+        tables.append(cast_to(rows.where(good), TICKS), TICKS, batch)
+        tables.append(rows.where(~good).select("value", "reason"), QUARANTINE, batch)
 
-    bad_text = F.when(F.col("reason").isNotNull(), F.col("value"))
-    parsed = parse_messages(messages).withColumn("value", bad_text)
-    return start_sink(parsed, "raw", checkpoint, write, trigger=trigger)
+    return start_sink(judged(messages), "raw", checkpoint, write, trigger=trigger, keep=False)
 
 
 def start_windows(
@@ -58,6 +79,7 @@ def start_windows(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Store bars, stats and alerts of closed windows, from one state."""
+    tables.create(ticks.sparkSession, BARS, PRICE_STATS, ALERTS, QUARANTINE)
 
     def write(stats: DataFrame, batch: Batch) -> None:
         parts = [
@@ -74,16 +96,18 @@ def start_windows(
 def start_latest(
     ticks: DataFrame, tables: Tables, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Store the newest tick of each symbol whenever it changes.
+    """Keep the newest tick of each symbol.
 
-    ``latest_prices`` over the stored changes gives the current state: a later
-    change of a symbol always ranks higher.
+    A batch brings the symbols that changed; the stored state takes them in, so the table has a
+    row per symbol and checkpoint. ``latest_prices`` over it combines checkpoints. Ticks that the
+    table cannot take do not count; :func:`start_raw` quarantines them.
     """
+    tables.create(ticks.sparkSession, LATEST)
 
     def write(changes: DataFrame, batch: Batch) -> None:
-        store([(changes, LATEST)], tables, batch)
+        tables.merge(conform(changes, LATEST)[0], LATEST, batch, latest_prices)
 
-    return start_sink(latest_prices(ticks), "latest", checkpoint, write, "update", trigger)
+    return start_sink(latest_prices(ticks), "latest", checkpoint, write, "update", trigger, keep=False)
 
 
 def start_pipeline(
@@ -93,22 +117,40 @@ def start_pipeline(
     trigger: dict | None = None,
     **windows,
 ) -> list[StreamingQuery]:
-    """Start the raw and the windowed query over one message stream.
+    """Start the raw, the windowed and the latest-price query over one message stream.
 
-    They have separate checkpoints and survive each other's failure. ``windows``
-    sets widths, delay and limits of :func:`start_windows`.
+    Each has a checkpoint of its own and goes on from there after a restart. What happens to the others
+    when one ends is for :func:`wait` to decide. ``windows`` sets widths, delay and limits of
+    :func:`start_windows`.
     """
-    ticks, _ = decode_ticks(messages)
+    ticks = sound_ticks(messages)
     return [
         start_raw(messages, tables, f"{checkpoint_root}/raw", trigger),
         start_windows(ticks, tables, f"{checkpoint_root}/windows", trigger=trigger, **windows),
+        start_latest(ticks, tables, f"{checkpoint_root}/latest", trigger),
     ]
 
 
-def wait(spark: SparkSession) -> None:
-    """Block until any query ends, then stop the others; checkpoints keep their place."""
+def wait(spark: SparkSession, stop: Event | None = None, patience: float = 60.0) -> None:
+    """Block until any query ends or ``stop`` is set, then stop the others.
+
+    One query's failure ends the job and is raised here; checkpoints keep every query's place. After
+    ``stop`` each query may finish its running batch, for ``patience`` seconds.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while not spark.streams.awaitAnyTermination(1):
+            if stop is not None and stop.is_set():
+                drain(spark, patience)
+                break
     finally:
         for query in spark.streams.active:
             query.stop()
+
+
+def drain(spark: SparkSession, patience: float) -> None:
+    """Wait until each query is between two batches, and stop it there."""
+    until = time.monotonic() + patience
+    for query in spark.streams.active:
+        while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+            time.sleep(0.05)
+        query.stop()

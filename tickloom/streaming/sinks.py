@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -13,69 +14,123 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.contracts import as_quarantine, conform
+from tickloom.functions import as_instant
+from tickloom.operators.contracts import as_quarantine, conform, misfit
 from tickloom.schema import QUARANTINE, TICKS, Contract
+from tickloom.session import remove
 from tickloom.sources.tables import read_table
 
 log = logging.getLogger(__name__)
 
-ROWS_PER_TASK = 1_000_000
-
-
 @dataclass(frozen=True)
 class Batch:
-    """A micro-batch: ids count per query, so the query's name belongs to it.
-
-    ``size`` is its number of rows where that is known.
-    """
+    """A micro-batch. Ids count per checkpoint, so the checkpoint's own id belongs to it."""
 
     query: str
     id: int
-    size: int | None = None
+    run: str = ""
 
-    def fold(self, rows: DataFrame) -> DataFrame:
-        """Rows of this batch in as few tasks as its size asks for.
+    @property
+    def source(self) -> str:
+        return f"{self.query}-{self.run}" if self.run else self.query
 
-        A window query has a task per state partition, most of them with few rows
-        to write, and each would make a file or open a connection of its own.
-        """
-        return rows if self.size is None else rows.coalesce(1 + self.size // ROWS_PER_TASK)
+
+def in_tasks(rows: DataFrame, tasks: int | None) -> DataFrame:
+    """Rows in at most ``tasks`` tasks, or as they are."""
+    return rows if tasks is None else rows.coalesce(tasks)
 
 
 class Tables(Protocol):
     """A set of target tables."""
 
+    def create(self, spark: SparkSession, *contracts: Contract) -> None: ...
+
     def append(self, rows: DataFrame, contract: Contract, batch: Batch) -> None: ...
 
+    def merge(
+        self,
+        rows: DataFrame,
+        contract: Contract,
+        batch: Batch,
+        combine: Callable[[DataFrame], DataFrame],
+    ) -> None: ...
+
 
 @dataclass(frozen=True)
 class ParquetTables:
-    """Tables as folders below ``root``, with one folder per query and micro-batch.
+    """Tables as folders below ``root``, partitioned by checkpoint and micro-batch.
 
-    Writing a batch again replaces its folder and no other. Ticks are laid out by day and
-    sorted by symbol and time within a file, so that scans for one symbol and a
-    time range skip most row groups.
+    Writing a batch again replaces its own partitions and no other; a new checkpoint has an id of
+    its own and so adds to what older ones stored. Ticks are partitioned by day first and
+    sorted by symbol and time within a file, so that scans for one symbol and a time range read a few
+    row groups of a few days. ``tasks`` bounds the tasks, and so the files, of one write;
+    without it a write has the tasks of its batch.
     """
 
     root: str
+    tasks: int | None = None
 
     def path(self, contract: Contract) -> str:
         return f"{self.root}/{contract.table}"
 
+    def parts(self, contract: Contract) -> list[str]:
+        return [*(["day"] if contract is TICKS else []), "source", "batch_id"]
+
+    def create(self, spark: SparkSession, *contracts: Contract) -> None:
+        """Make tables that are not there yet, so that those without rows can be read."""
+        for contract in contracts:
+            empty = spark.createDataFrame([], self._ddl(contract))
+            empty.write.mode("append").partitionBy(self.parts(contract)).parquet(self.path(contract))
+
     def append(self, rows: DataFrame, contract: Contract, batch: Batch) -> None:
-        target = f"{self.path(contract)}/query={batch.query}/batch_id={batch.id}"
+        marked = in_tasks(rows, self.tasks).withColumns(
+            {"source": F.lit(batch.source), "batch_id": F.lit(batch.id).cast("long")}
+        )
         if contract is TICKS:
-            dated = rows.withColumn("day", F.to_date("timestamp"))
-            by_time = dated.sortWithinPartitions("day", "symbol", "timestamp")
-            by_time.write.mode("overwrite").partitionBy("day").parquet(target)
-        else:
-            rows.write.mode("overwrite").parquet(target)
+            marked = marked.withColumn("day", F.to_date("timestamp"))
+            marked = marked.sortWithinPartitions("day", "symbol", "timestamp")
+        writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(self.parts(contract)).parquet(self.path(contract))
+
+    def merge(
+        self,
+        rows: DataFrame,
+        contract: Contract,
+        batch: Batch,
+        combine: Callable[[DataFrame], DataFrame],
+    ) -> None:
+        """Put the batch together with the state before it and store that as the new state.
+
+        States older than the one before are deleted: a repeated batch still finds what it needs.
+        """
+        spark = rows.sparkSession
+        own = self._scan(spark, contract).where(F.col("source") == batch.source)
+        ids = sorted(r[0] for r in own.select("batch_id").distinct().collect())  # two or three
+        earlier = [i for i in ids if i < batch.id]
+        if earlier:
+            state = own.where(F.col("batch_id") == earlier[-1]).select(*contract.columns)
+            rows = combine(state.unionByName(rows))
+        self.append(rows, contract, batch)
+        for old in earlier[:-1]:
+            remove(spark, f"{self.path(contract)}/source={batch.source}/batch_id={old}")
 
     def read(self, spark: SparkSession, contract: Contract) -> DataFrame:
         """The whole table. The schema is given, so a table without rows reads too."""
-        rows = spark.read.schema(contract.ddl).parquet(self.path(contract))
-        extra = [name for name in ("day",) if name in rows.columns]
-        return rows.select(*contract.columns, *extra)
+        extra = ["day"] if contract is TICKS else []
+        return self._scan(spark, contract).select(*contract.columns, *extra)
+
+    def read_state(self, spark: SparkSession, contract: Contract) -> DataFrame:
+        """The newest state that each checkpoint merged."""
+        rows = self._scan(spark, contract)
+        newest = rows.groupBy("source").agg(F.max("batch_id").alias("batch_id"))
+        return rows.join(newest, ["source", "batch_id"], "left_semi").select(*contract.columns)
+
+    def _ddl(self, contract: Contract) -> str:
+        kinds = {"day": "DATE", "source": "STRING", "batch_id": "BIGINT"}
+        return ", ".join([contract.ddl, *(f"{n} {kinds[n]}" for n in self.parts(contract))])
+
+    def _scan(self, spark: SparkSession, contract: Contract) -> DataFrame:
+        return spark.read.schema(self._ddl(contract)).parquet(self.path(contract))
 
 
 def write_jdbc(
@@ -104,22 +159,38 @@ class JdbcTables:
     JDBC only appends. Windows and alerts have a natural key, so a repeated batch
     adds just the keys that are missing, looked up within the batch's own range of
     window starts. Ticks have no key: a batch that failed half-way can leave
-    duplicates there, which the parquet tables avoid.
+    duplicates there, which the parquet tables avoid. ``tasks`` bounds the connections of one write.
     """
 
     options: dict[str, str]
+    tasks: int | None = None
+
+    def create(self, spark: SparkSession, *contracts: Contract) -> None:
+        """Relational tables are made by their owner."""
 
     def append(self, rows: DataFrame, contract: Contract, batch: Batch) -> None:
+        rows = in_tasks(rows, self.tasks)
         if contract.key:
             starts = F.min("window_start").alias("first"), F.max("window_start").alias("last")
             first, last = rows.agg(*starts).first()
             if first is None:
                 return
             stored = read_table(rows.sparkSession, contract, jdbc=self.options)
-            stored = stored.where(F.col("window_start").between(F.lit(first), F.lit(last)))
-            rows = unseen(rows, stored, contract.key)
+            kind = stored.schema["window_start"].dataType
+            span = as_instant(first, kind), as_instant(last, kind)
+            rows = unseen(rows, stored.where(F.col("window_start").between(*span)), contract.key)
         write_jdbc(rows, contract.table, self.options)
 
+    def merge(
+        self,
+        rows: DataFrame,
+        contract: Contract,
+        batch: Batch,
+        combine: Callable[[DataFrame], DataFrame],
+    ) -> None:
+        """Appends changes; a reader combines them, as the latest-price view does."""
+        self.append(rows, contract, batch)
+
 
 def store(
     parts: list[tuple[DataFrame, Contract]],
@@ -131,9 +202,15 @@ def store(
     rejected = [] if quarantine is None else [quarantine]
     for rows, contract in parts:
         good, broken = conform(rows, contract)
-        tables.append(batch.fold(good), contract, batch)
-        rejected.append(as_quarantine(broken, f"does not fit {contract.table}"))
-    tables.append(batch.fold(reduce(DataFrame.unionByName, rejected)), QUARANTINE, batch)
+        tables.append(good, contract, batch)
+        rejected.append(as_quarantine(broken, misfit(contract)))
+    tables.append(reduce(DataFrame.unionByName, rejected), QUARANTINE, batch)
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave a checkpoint when it was first used."""
+    lines = spark.read.text(f"{checkpoint}/metadata").collect()  # one short line
+    return json.loads("".join(r[0] for r in lines))["id"]
 
 
 def start_sink(
@@ -145,24 +222,25 @@ def start_sink(
     trigger: dict | None = None,
     keep: bool = True,
 ) -> StreamingQuery:
-    """Start a query that hands each micro-batch to ``write(rows, batch)``.
+    """Start a query that hands each micro-batch with rows to ``write(rows, batch)``.
 
-    With ``keep`` the batch is computed once, by all its tasks, and kept while it
-    feeds several tables. Losing the kept blocks costs a recomputation from the
-    source, not the result. Kept batches without rows are passed over, as most
-    batches of a window query close no window; the first is written all the same,
-    so that its tables exist.
+    With ``keep`` the batch is computed once and kept while it feeds several tables, which suits
+    aggregates. Losing the kept blocks costs a recomputation from the source, not the result. Without,
+    every table that is written computes it anew, which suits large batches of plain rows.
     """
+    runs: list[str] = []
 
     def write_batch(rows: DataFrame, batch_id: int) -> None:
+        if not runs:
+            runs.append(checkpoint_id(rows.sparkSession, checkpoint))
+        batch = Batch(name, batch_id, runs[0])
         if not keep:
-            write(rows, Batch(name, batch_id))
+            write(rows, batch)
             return
         kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            size = kept.count()
-            if size or batch_id == 0:
-                write(kept, Batch(name, batch_id, size))
+            if kept.count():
+                write(kept, batch)
         finally:
             kept.unpersist()
 
