@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,13 +22,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import stored, texts
-from tickloom.llm.wordcache import WordCache
+from tickloom.llm.wordcache import Encoded, WordCache, flat, worker_kept
 
 CAPACITY = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Texts whose words are encoded together; no result depends on it.
-TOGETHER = 200
+#: A token that the vocabulary knows as special.
+BETWEEN = "<|startoftext|>"
+#: What keeps a text from being lower-cased here: letters beyond Latin, a dotted capital i, special tokens.
+UNUSUAL = re.compile(r"[^\x00-\u012f\u0131-\u024f]|<\|")
+STOP = re.compile(r"(?<=[A-Za-z0-9])([.,])(?= |$)")
+#: Texts whose words are encoded together, and words in a batch; no result depends on it.
+TOGETHER = 500
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
@@ -45,15 +51,61 @@ class TokenIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.between = self.tokenizer.token_to_id(BETWEEN)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cache = WordCache(self._encode)
 
-    def _encode(self, words: list[str]) -> tuple[list[list[int]], list[bool]]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [x.ids for x in found], [True] * len(words)
+    def _encode(self, words: list[str]) -> Encoded:
+        plain = [w for w in words if w.isalpha()]
+        rest = [w for w in words if not w.isalpha()]
+        parts = [part for part in (self._letters(plain), self._any(rest)) if part]
+        return [*plain, *rest], *(np.concatenate(column) for column in zip(*parts))
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, ...] | None:
+        """Many words of letters in one text: each is one run for the splitter, whose last id says so.
+
+        Other white space than words have between them does not occur, so as many last ids as words
+        are one for each; if the library's idea of a letter differs, they are encoded apart.
+        """
+        if not words:
+            return None
+        ids = self._row([" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):
+            return self._any(words)
+        return ids, np.diff(ends, prepend=0), np.ones(len(words), bool)
+
+    def _any(self, words: list[str]) -> tuple[np.ndarray, ...] | None:
+        """Any words in one text, with a special token between them."""
+        if not words:
+            return None
+        if any(BETWEEN[:2] in word for word in words):
+            return flat([x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+        ids = self._row([BETWEEN.join(["", *words[i : i + TOGETHER]]) for i in range(0, len(words), TOGETHER)])
+        starts = np.flatnonzero(ids == self.between)
+        lengths = np.diff(starts, append=len(ids)) - 1
+        return ids[ids != self.between], lengths, np.ones(len(words), bool)
+
+    def _row(self, texts: list[str]) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return np.concatenate([np.array(x.ids, np.uint32) for x in found])
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        return [ids for ids, _ in self.cache(split)]
+        return [ids for ids, _ in self.cache([plainer(text).split(" ") for text in texts])]
+
+
+def plainer(text: str) -> str:
+    """A text of the same ids with fewer different words.
+
+    The vocabulary has no capitals, so Latin letters that lower-casing maps one to one are mapped here;
+    a full stop or comma between a letter or digit and white space is a token of its own.
+    """
+    text = text.replace("\n", " ")
+    if not UNUSUAL.search(text):
+        text = text.lower()
+    return STOP.sub(r" \1", text)
 
 
 def tokenized(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
@@ -65,7 +117,7 @@ def tokenized(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None =
     path = tokenizer or public_tokenizers.path(TOKENIZER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = TokenIds(path)
+        encode = worker_kept(TokenIds, path)
         for batch in batches:
             for part in (batch.slice(i, TOGETHER) for i in range(0, batch.num_rows, TOGETHER)):
                 rows: list[tuple] = []

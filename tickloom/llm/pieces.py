@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import texts
-from tickloom.llm.wordcache import WordCache
+from tickloom.llm.wordcache import Encoded, WordCache, flat, worker_kept
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -141,7 +141,7 @@ class Codec:
         self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
         self.cache = WordCache(self._encode)
 
-    def _encode(self, words: list[str]) -> tuple[list[list[int]], list[bool]]:
+    def _encode(self, words: list[str]) -> Encoded:
         """Ids of words, all threads at once, and whether SentencePiece agrees both ways."""
         encoded = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         decoded = self.tokenizer.decode_batch(encoded, skip_special_tokens=False)
@@ -152,7 +152,7 @@ class Codec:
             if word == " ":  # the prefix alone, which SentencePiece does not add to an empty text
                 other = [self.reference.piece_to_id(MARK)]
             same.append(ids == other and self._bare(text) == original)
-        return encoded, same
+        return words, *flat(encoded, same)
 
     def _as_first(self, word: str) -> str:
         """A word as SentencePiece must get it, for the prefix that it adds itself."""
@@ -180,7 +180,7 @@ def encoded(docs: DataFrame, model: str | None = None) -> DataFrame:
     path = model or public_tokenizers.path(MODEL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = worker_kept(Codec, path)
         for batch in batches:
             for part in (batch.slice(i, TOGETHER) for i in range(0, batch.num_rows, TOGETHER)):
                 found = codec.encode([t.as_py() or "" for t in part.column(1)])

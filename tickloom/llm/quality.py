@@ -106,14 +106,22 @@ def _thousandths(part: str, whole: str) -> Column:
     return F.when(F.col(whole) > 0, F.expr(f"1000 * {part} div {whole}")).otherwise(F.lit(0).cast("long"))
 
 
-SIGNALS = {
-    "symbols": _thousandths("n_symbols", "n_words"),
-    "long_words": _thousandths("word_chars", "n_words"),
-    "dup_lines": _thousandths("n_dup_lines", "n_lines"),
-    "repeats": _thousandths("n_repeat_words", "n_words"),
-}
-BASE_FAILED = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-STRATUM = F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum")
+def signals() -> dict[str, Column]:
+    """Integer signals over the columns of ``counts``, by rule."""
+    return {
+        "symbols": _thousandths("n_symbols", "n_words"),
+        "long_words": _thousandths("word_chars", "n_words"),
+        "dup_lines": _thousandths("n_dup_lines", "n_lines"),
+        "repeats": _thousandths("n_repeat_words", "n_words"),
+    }
+
+
+def base_failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
+def stratum() -> Column:
+    return F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum")
 
 
 def _tail(k: Column, n: Column, rate: float) -> Column:
@@ -143,17 +151,17 @@ def certified(counted: DataFrame, labels: DataFrame, rules=None, risk: float = R
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min("quality").alias("quality")
     ).where("quality = 1")
-    holdout = counted.where(~BASE_FAILED).join(good, "doc_id")
+    holdout = counted.where(~base_failed()).join(good, "doc_id")
     reached = F.array(*[
         F.struct(
             F.lit(name).alias("rule"),
-            F.array(*[(SIGNALS[name] >= c).cast("long") for c in grid]).alias("hits"),
+            F.array(*[(signals()[name] >= c).cast("long") for c in grid]).alias("hits"),
             F.array(*[F.lit(c).cast("long") for c in grid]).alias("grid"),
         )
         for name, grid in rules.items()
     ])
     tried = (
-        holdout.select(STRATUM, F.inline(reached))
+        holdout.select(stratum(), F.inline(reached))
         .select("stratum", "rule", F.posexplode(F.arrays_zip("hits", "grid")).alias("level", "x"))
         .groupBy("stratum", "rule", "level", F.col("x.grid").alias("cutoff"))
         .agg(F.count("*").alias("n"), F.sum("x.hits").alias("k"))
@@ -189,8 +197,8 @@ def rejected(cutoffs: dict[str, dict[str, int]]) -> Column:
     verdict = F.lit(False)
     for rule, of in sorted(cutoffs.items()):
         pairs = [F.lit(x) for pair in sorted(of.items()) for x in pair]
-        cutoff = F.try_element_at(F.create_map(*pairs), STRATUM)
-        verdict = verdict | F.coalesce(SIGNALS[rule] >= cutoff, F.lit(False))
+        cutoff = F.try_element_at(F.create_map(*pairs), stratum())
+        verdict = verdict | F.coalesce(signals()[rule] >= cutoff, F.lit(False))
     return verdict
 
 
@@ -201,7 +209,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     counted = stored(counts(docs, "lang"), "counts")
     cutoffs = cutoffs_of(certified(counted, labels))
-    base = BASE_FAILED
+    base = base_failed()
     return counted.withColumn("base_failed", base).withColumn("kept", ~base & ~rejected(cutoffs))
 
 
@@ -224,5 +232,5 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.struct(*[F.col(c).alias(n) for c, n in zip(docs.columns, names)]).alias("_row"),
         "doc_id", "text", "lang",
     )
-    judged = counts(own, "_row", "lang").where(~BASE_FAILED & ~rejected(cutoffs))
+    judged = counts(own, "_row", "lang").where(~base_failed() & ~rejected(cutoffs))
     return judged.select(*[F.col(f"_row.{n}").alias(c) for c, n in zip(docs.columns, names)])

@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
-from itertools import chain
+from itertools import chain, repeat
+from types import ModuleType
+from typing import Any
 
 import numpy as np
 
 #: Distinct words that are remembered and the longest of them; neither changes a result.
 REMEMBERED, LONGEST = 800_000, 64
 
-Encoder = Callable[[list[str]], tuple[list[list[int]], list[bool]]]
+#: Words in any order, their ids in a row, how many each has, and a mark for each.
+Encoded = tuple[list[str], np.ndarray, np.ndarray, np.ndarray]
+Encoder = Callable[[list[str]], Encoded]
+
+
+def worker_kept(kind: Callable[[str], Any], path: str) -> Any:
+    """``kind(path)``, made once per Python worker and file.
+
+    Functions reach a worker by value, so their globals end with a task; the worker itself serves
+    many tasks, and what it has learned about words is the same for all of them.
+    """
+    kept = sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker")).__dict__
+    state = os.stat(path)
+    key = f"{kind.__name__} {path} {state.st_size} {state.st_mtime_ns}"
+    if key not in kept:
+        kept[key] = kind(path)
+    return kept[key]
 
 
 class WordCache:
@@ -22,59 +42,57 @@ class WordCache:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
+        self.count = 0
         self.ids = np.zeros(1 << 16, np.uint32)
         #: Word i has the ids from ``bounds[i]`` to ``bounds[i + 1]``.
         self.bounds = np.zeros(1 << 16, np.int64)
         self.marks = np.zeros(1 << 16, bool)
 
     def _learn(self, words: list[str]) -> None:
-        ids, marks = self.encode(words)
-        first, count = len(self.known), len(words)
-        ends = self.bounds[first] + np.cumsum(np.fromiter(map(len, ids), np.int64, count))
+        words, ids, lengths, marks = self.encode(words)
+        first, count = self.count, len(words)
+        start = self.bounds[first]
+        ends = start + np.cumsum(lengths)
         while first + count + 1 > len(self.bounds):
             self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
             self.marks = np.concatenate([self.marks, np.zeros_like(self.marks)])
         while ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        start = self.bounds[first]
-        self.ids[start : ends[-1]] = np.fromiter(chain.from_iterable(ids), np.uint32, ends[-1] - start)
+        self.ids[start : ends[-1]] = ids
         self.bounds[first + 1 : first + count + 1] = ends
         self.marks[first : first + count] = marks
         self.known.update(zip(words, range(first, first + count)))
+        self.count += count
 
     def __call__(self, texts: list[list[str]]) -> list[tuple[np.ndarray, bool]]:
         """(ids, all words marked) of each text; the new words of all texts are encoded together."""
-        if len(self.known) > REMEMBERED:
+        if self.count > REMEMBERED or self.bounds[self.count] > 16 * REMEMBERED:
             self.clear()
-        known = self.known
-        new = {w: None for words in texts for w in words if w not in known}
-        if not new:
-            return [self._known(words) for words in texts]
-        long = [w for w in new if len(w) > LONGEST]
-        if len(long) < len(new):
-            self._learn([w for w in new if len(w) <= LONGEST])
-        if not long:
-            return [self._known(words) for words in texts]
-        ids, marks = self.encode(long)
-        rare = {w: (np.array(x, np.uint32), m) for w, x, m in zip(long, ids, marks)}
-        return [self._mixed(words, rare) for words in texts]
-
-    def _known(self, words: list[str]) -> tuple[np.ndarray, bool]:
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        words = list(chain.from_iterable(texts))
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missed = np.flatnonzero(at < 0).tolist()
+        if missed:
+            new = list(dict.fromkeys(words[i] for i in missed))
+            self._learn(new)
+            at[missed] = [self.known[words[i]] for i in missed]
+            for word in new:
+                if len(word) > LONGEST:
+                    del self.known[word]
         starts = self.bounds[at]
         lengths = self.bounds[at + 1] - starts
-        ends = np.cumsum(lengths)
-        if not len(ends) or not ends[-1]:
-            return np.zeros(0, np.uint32), bool(self.marks[at].all())
-        ids = self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1])]
-        return ids, bool(self.marks[at].all())
-
-    def _mixed(self, words: list[str], rare: dict) -> tuple[np.ndarray, bool]:
-        """With words in between that are too long to be remembered."""
-        parts, start = [], 0
-        for i, word in enumerate(words):
-            if word in rare:
-                parts += [self._known(words[start:i]), rare[word]]
-                start = i + 1
-        parts.append(self._known(words[start:]))
-        return np.concatenate([ids for ids, _ in parts]), all(mark for _, mark in parts)
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)])
+        ids = self.ids[np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])]
+        marks = self.marks[at]
+        found, first = [], 0
+        for text in texts:
+            last = first + len(text)
+            found.append((ids[ends[first] : ends[last]], bool(marks[first:last].all())))
+            first = last
+        return found
+
+
+def flat(ids: list[list[int]], marks: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What an encoder returns, from a list of ids per word."""
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    row = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+    return row, lengths, np.ones(len(ids), bool) if marks is None else np.array(marks, bool)
