@@ -14,9 +14,8 @@ of rows; equal codes among them are searched once.
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import stored
@@ -59,9 +58,10 @@ def _segments(frame: DataFrame, segments: int) -> DataFrame:
     return frame.select("*", F.inline(F.array(*values)))
 
 
-def _flips(width: int, radius: int) -> Column:
-    """All masks of ``radius`` bits of a segment, a fixed array."""
-    return F.lit([sum(1 << b for b in bits) for bits in combinations(range(width), radius)]).cast("array<long>")
+def _flips(spark: SparkSession, segments: int, width: int, radius: int) -> DataFrame:
+    """``segment, mask``: all masks of ``radius`` bits, a fixed number of rows (51,480 at most for 16 bits)."""
+    masks = spark.range(1 << width).where(F.bit_count("id") == radius).select(F.col("id").alias("mask"))
+    return masks.select(F.explode(F.array(*[F.lit(s) for s in range(segments)])).alias("segment"), "mask")
 
 
 def smallest_ids(coded: DataFrame, top: int = TOP) -> DataFrame:
@@ -78,6 +78,7 @@ def nearest(coded: DataFrame, queries: DataFrame, top: int = TOP, segments: int
     ``coded`` has ``vec_id, code``; ``queries`` has distinct ``code``. The rows of the codes returned
     contain the ``top`` smallest by (distance, vec_id); there may be more rows than that.
     """
+    spark = coded.sparkSession
     sizes = stored(
         coded.groupBy("code").agg(F.least(F.count("*"), F.lit(top)).alias("rows")), "codes"
     )
@@ -90,7 +91,8 @@ def nearest(coded: DataFrame, queries: DataFrame, top: int = TOP, segments: int
     for radius in range(width + 1):
         if not need or not active.take(1):
             break
-        probes = _segments(active, segments).select("code", "segment", "value", F.explode(_flips(width, radius)).alias("mask"))
+        masks = F.broadcast(_flips(spark, segments, width, radius))
+        probes = _segments(active, segments).join(masks, "segment")
         probes = probes.select("code", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
         seen = probes.join(index, ["segment", "value"]).select(
             "code", "other", "rows", F.bit_count(F.col("code").bitwiseXOR(F.col("other"))).alias("distance")
