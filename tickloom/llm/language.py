@@ -22,8 +22,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import texts
-from tickloom.llm.wordcache import WordCache
+from tickloom.llm.tables import stored, texts
+from tickloom.llm.wordcache import Encoded, WordCache, flat
 
 LONGEST, PROFILE = 3, 400
 #: N-grams a task remembers, words it counts before it hands them on, texts ranked together, most languages.
@@ -80,7 +80,7 @@ def _counted(counts: dict[str, Counter]) -> pa.RecordBatch:
 
 def profiles(docs: DataFrame, size: int = PROFILE) -> dict[str, list[str]]:
     """The ``size`` most frequent n-grams of each language, ties by text; at most ``MOST_LANGUAGES``."""
-    counts = gram_counts(docs)
+    counts = stored(gram_counts(docs), "grams")
     if counts.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
@@ -91,6 +91,24 @@ def profiles(docs: DataFrame, size: int = PROFILE) -> dict[str, list[str]]:
     return found
 
 
+class Grams(dict):
+    """N-grams to ids, given as they come, with what is known about each of them."""
+
+    def __init__(self, learned: list[dict[str, int]], size: int):
+        self.learned, self.size = learned, size
+        self.ties = np.zeros(1024, np.uint64)
+        self.ranks = np.full((1024, len(learned)), size, np.int64)
+
+    def __missing__(self, gram: str) -> int:
+        at = self[gram] = len(self)
+        if at == len(self.ties):
+            self.ties = np.concatenate([self.ties, np.zeros_like(self.ties)])
+            self.ranks = np.concatenate([self.ranks, np.full_like(self.ranks, self.size)])
+        self.ties[at] = xxhash.xxh64_intdigest(gram.encode("utf-8", "surrogatepass"))
+        self.ranks[at] = [ranks.get(gram, self.size) for ranks in self.learned]
+        return at
+
+
 class Ranker:
     """Compares texts with profiles, remembering the n-grams of words."""
 
@@ -101,24 +119,11 @@ class Ranker:
 
     def clear(self) -> None:
         self.cache = WordCache(self._encode)
-        self.grams: dict[str, int] = {}
-        self.ties = np.zeros(1024, np.uint64)
-        self.ranks = np.full((1024, len(self.langs)), self.size, np.int64)
-
-    def _encode(self, words: list[str]) -> tuple[list[list[int]], list[bool]]:
-        return [list(map(self._gram, grams(word))) for word in words], [True] * len(words)
+        self.grams = Grams(self.learned, self.size)
 
-    def _gram(self, gram: str) -> int:
-        at = self.grams.get(gram)
-        if at is not None:
-            return at
-        at = self.grams[gram] = len(self.grams)
-        if at == len(self.ties):
-            self.ties = np.concatenate([self.ties, np.zeros_like(self.ties)])
-            self.ranks = np.concatenate([self.ranks, np.full_like(self.ranks, self.size)])
-        self.ties[at] = xxhash.xxh64_intdigest(gram.encode("utf-8", "surrogatepass"))
-        self.ranks[at] = [ranks.get(gram, self.size) for ranks in self.learned]
-        return at
+    def _encode(self, words: list[str]) -> Encoded:
+        number = self.grams.__getitem__
+        return words, *flat([list(map(number, grams(word))) for word in words])
 
     def top(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text's most frequent n-grams by rank; ties by a hash of the n-gram."""
@@ -128,7 +133,7 @@ class Ranker:
         for ids, _ in self.cache([WORD.findall(text.lower()) for text in texts]):
             counts = np.bincount(ids)
             seen = np.flatnonzero(counts)
-            found.append(seen[np.lexsort((self.ties[seen], -counts[seen]))][: self.size])
+            found.append(seen[np.lexsort((self.grams.ties[seen], -counts[seen]))][: self.size])
         return found
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -138,7 +143,7 @@ class Ranker:
     def _nearest(self, top: np.ndarray) -> tuple[str, float]:
         if not len(top) or not self.langs:
             return UNKNOWN, 0.0
-        ranks = self.ranks[top]
+        ranks = self.grams.ranks[top]
         steps = np.abs(ranks - np.arange(len(top))[:, None])
         distance = np.where(ranks == self.size, self.size, steps).sum(axis=0)
         best = int(distance.argmin())
