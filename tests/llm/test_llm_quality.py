@@ -1,0 +1,88 @@
+import math
+import random
+
+import pytest
+from llm_brute import counts, documents, hard_texts, prose
+from pyspark.sql import functions as F
+
+from tickloom.llm import quality
+
+
+def test_counts_match_brute_force(spark):
+    rng = random.Random(2)
+    texts = hard_texts(rng) + [(20 + i, prose(rng, rng.randrange(1, 300), 4 + i)) for i in range(30)]
+    texts.append((99, "a b c\na b c\n # $ a b\n\n \n a b c"))
+    found = quality.counts(documents(spark, texts)).collect()
+    expected = sorted((repr(i), *counts(t)) for i, t in texts)
+    assert expected == sorted(
+        (repr(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in found
+    )
+
+
+@pytest.mark.parametrize("k, n", [(0, 1), (0, 300), (2, 300), (5, 300), (9, 300), (300, 300), (40, 5000)])
+def test_tail_is_the_binomial_one(spark, k, n):
+    row = spark.range(1).select(quality._tail(F.lit(k).cast("long"), F.lit(n).cast("long"), 0.02).alias("p"))
+    if k > n * 0.02:
+        assert row.first().p == 1
+    else:
+        exact = sum(math.comb(n, i) * 0.02**i * 0.98 ** (n - i) for i in range(k + 1))
+        assert row.first().p == pytest.approx(exact, rel=1e-9)
+
+
+def corpus(spark, rng, good, junk, lang="en"):
+    """Good documents of plain prose, and junk with a symbol per word that base rules pass."""
+    texts = {i: prose(rng, 60, 100_000) for i in range(good)}
+    texts |= {good + i: prose(rng, 60, 100_000).replace(" ", " # ") for i in range(junk)}
+    docs = documents(spark, texts, {i: lang for i in texts})
+    labels = spark.createDataFrame([(i, int(i < good), 0) for i in texts], "doc_id long, quality int, toxic int")
+    return docs, labels
+
+
+def test_certified_cutoffs_reject_junk_only(spark):
+    docs, labels = corpus(spark, random.Random(3), 320, 30)
+    rows = quality.quality_query(docs, labels).collect()
+    assert {r.kept for r in rows if r.doc_id < 320} == {True}
+    assert {r.kept for r in rows if r.doc_id >= 320} == {False}
+    assert not any(r.base_failed for r in rows)
+    assert quality.keep_good(docs, labels).count() == 320
+
+
+def test_few_labels_certify_nothing(spark):
+    docs, labels = corpus(spark, random.Random(3), 60, 10)
+    chosen = quality.certified(quality.counts(docs, "lang"), labels).collect()
+    assert chosen and all(r.cutoff is None and r.level == 0 for r in chosen)
+    assert all(r.kept for r in quality.quality_query(docs, labels).collect())
+
+
+def test_first_uncertain_cutoff_ends_the_row(spark):
+    """Good documents that a strict cutoff would hit keep it from being chosen."""
+    rng = random.Random(4)
+    texts = {i: prose(rng, 60, 100_000) for i in range(300)}
+    texts |= {300 + i: prose(rng, 60, 100_000).replace("x ", "x# ", 9) for i in range(100)}  # 150 thousandths
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, 1, 0) for i in texts], "doc_id long, quality int, toxic int")
+    chosen = {r.rule: r for r in quality.certified(quality.counts(docs, "lang"), labels).collect()}
+    assert (chosen["symbols"].level, chosen["symbols"].cutoff, chosen["symbols"].n) == (4, 200, 400)
+
+
+def test_strata_are_apart_and_null_language_is_one(spark):
+    rng = random.Random(5)
+    texts = {i: prose(rng, 60, 100_000) for i in range(700)}
+    texts |= {700 + i: prose(rng, 60, 100_000).replace(" ", " # ") for i in range(4)}
+    langs = {i: None for i in range(350)} | {700: None, 701: None} | {i: "de" for i in range(350, 360)} | {702: "de"}
+    docs = documents(spark, texts, langs)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(700)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality.quality_query(docs, labels).collect()}
+    assert [kept[i] for i in (700, 701, 702, 703)] == [False, False, True, False]
+
+
+def test_empty_tables_and_odd_rows(spark):
+    no_labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert quality.quality_query(documents(spark, {}), no_labels).count() == 0
+    assert quality.keep_good(documents(spark, {}), no_labels).count() == 0
+    docs = documents(spark, hard_texts(random.Random(6)))
+    rows = quality.quality_query(docs, no_labels).collect()
+    assert len(rows) == 14
+    assert all(r.base_failed and not r.kept for r in rows if r.doc_id not in (9, 10))
+    kept = quality.keep_good(docs, no_labels)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [9, 10]
