@@ -57,7 +57,8 @@ def with_rejections(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     sides = F.array(
         F.struct(F.lit(True).alias("is_chosen"), F.col("text").alias("said")),
         F.struct(
-            F.lit(False).alias("is_chosen"), F.when(F.col("place") == F.col("last"), F.col("other")).otherwise(F.col("text")).alias("said")
+            F.lit(False).alias("is_chosen"),
+            F.when(F.col("place") == F.col("last"), F.col("other")).otherwise(F.col("text")).alias("said"),
         ),
     )
     return both.select("conv_id", "place", "last", "role", F.inline(sides)).where("is_chosen or place <= last").select(

@@ -33,7 +33,9 @@ def sign_code(vector: Column) -> Column:
     bits = F.aggregate(
         F.transform(
             vector,
-            lambda x, i: F.when(F.coalesce(x > 0, F.lit(False)), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")),
+            lambda x, i: F.when(
+                F.coalesce(x > 0, F.lit(False)), F.call_function("shiftleft", F.lit(1).cast("long"), i)
+            ).otherwise(F.lit(0).cast("long")),
         ),
         F.lit(0).cast("long"),
         lambda code, bit: code.bitwiseOR(bit),

@@ -196,7 +196,5 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     """
     found = near_duplicates(docs, shingle, distance)
     chosen = found.where("doc_id = component_id").select("doc_id").distinct()
-    extra = [c for c in docs.columns if c != "doc_id"]
-    kept = docs.join(chosen, "doc_id", "left_semi").select(docs.columns)
-    kept = kept.dropDuplicates(["doc_id"]) if extra else kept.distinct()
+    kept = docs.join(chosen, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id is null"))

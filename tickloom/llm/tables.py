@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.session import run_folder
+from tickloom.session import remove, run_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,8 +27,5 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 
 def discard(frame: DataFrame) -> None:
     """Delete the files of a table made by ``stored`` once nothing reads it any more."""
-    spark = frame.sparkSession
-    folders = {name.rpartition("/")[0] for name in frame.inputFiles()}
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in {name.rpartition("/")[0] for name in frame.inputFiles()}:
+        remove(frame.sparkSession, folder)
