@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import texts
+from tickloom.llm.tables import stored, texts
 
 #: The base patterns, in order of kind.
 KINDS = {
@@ -313,23 +313,34 @@ def _windows(text: str) -> Iterator[tuple[bool, list[str], list[int]]]:
             yield any(labels), words, labels
 
 
-def training_windows(docs: DataFrame) -> DataFrame:
-    """``secret, rank, words, labels, file`` of all windows; ``rank`` is a hash of the window."""
+def training_windows(docs: DataFrame, windows: int = WINDOWS) -> DataFrame:
+    """``secret, rank, words, labels, file``: windows of all documents; ``rank`` is a hash of the words.
+
+    Of each sort, a task keeps those of the ``windows`` smallest ranks, each different one once.
+    """
     schema = "secret boolean, rank long, words array<string>, labels array<long>, file array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[bool, dict[int, tuple]] = {True: {}, False: {}}
+        bound = {True: 1 << 63, False: 1 << 63}
         for batch in batches:
-            rows: list[tuple] = []
             for value in batch.column(1):
                 text = value.as_py() or ""
                 for secret, words, labels in _windows(text):
                     rank = xxhash.xxh64_intdigest("\x1f".join(words).encode("utf-8", "surrogatepass")) >> 1
-                    rows.append((secret, rank, words, labels, file_features(text)))
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = [pa.bool_(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["secret", "rank", "words", "labels", "file"]
-            )
+                    if rank < bound[secret]:
+                        best[secret].setdefault(rank, (secret, rank, words, labels, file_features(text)))
+            for secret, found in best.items():
+                smallest = sorted(found)[:windows]
+                best[secret] = {rank: found[rank] for rank in smallest}
+                if len(smallest) == windows:
+                    bound[secret] = smallest[-1] + 1
+        rows = [row for found in best.values() for row in found.values()]
+        columns = list(zip(*rows)) or [()] * 5
+        kinds = [pa.bool_(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.string())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["secret", "rank", "words", "labels", "file"]
+        )
 
     return texts(docs).mapInArrow(run, schema)
 
@@ -340,7 +351,7 @@ def trained(docs: DataFrame, windows: int = WINDOWS) -> Field:
     Windows come from all documents, each different one once; those of the smallest hashes are
     taken. Without any windows nothing is tagged.
     """
-    found = training_windows(docs).dropDuplicates(["secret", "rank"])
+    found = stored(training_windows(docs, windows), "windows").dropDuplicates(["secret", "rank"])
     rows = []
     for secret in (True, False):
         some = found.where(F.col("secret") == secret).orderBy("rank").limit(windows)
@@ -370,11 +381,11 @@ def scan(docs: DataFrame, field: Field) -> DataFrame:
         tagger = Tagger(field)
         for batch in batches:
             rows = [_all_spans(value.as_py() or "", tagger) for value in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0)]
-                + [pa.array([[s[k] for s in r] for r in rows], pa.list_(t)) for k, t in ((2, pa.string()), (0, pa.int64()), (1, pa.int64()))],
-                ["doc_id", "kinds", "starts", "ends"],
-            )
+            spans = [
+                pa.array([[span[at] for span in row] for row in rows], pa.list_(kind))
+                for at, kind in ((2, pa.string()), (0, pa.int64()), (1, pa.int64()))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *spans], ["doc_id", "kinds", "starts", "ends"])
 
     return texts(docs).mapInArrow(
         run, "doc_id long, kinds array<string>, starts array<long>, ends array<long>"
