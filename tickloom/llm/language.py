@@ -23,11 +23,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import stored, texts
-from tickloom.llm.wordcache import Encoded, WordCache, flat
+from tickloom.llm.wordcache import Encoded, WordCache, flat, worker_kept
 
 LONGEST, PROFILE = 3, 400
 #: N-grams a task remembers, words it counts before it hands them on, texts ranked together, most languages.
-REMEMBERED, COUNTED, TOGETHER, MOST_LANGUAGES = 500_000, 100_000, 200, 10_000
+REMEMBERED, COUNTED, TOGETHER, MOST_LANGUAGES = 500_000, 400_000, 200, 10_000
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -152,9 +152,10 @@ class Ranker:
 
 def identify(docs: DataFrame, learned: dict[str, list[str]], size: int = PROFILE) -> DataFrame:
     """``doc_id, lang_pred, score`` of every whole text; null text or no letter gives ``und`` and 0."""
+    key = f"languages {size} {xxhash.xxh3_128_hexdigest(repr(sorted(learned.items())))}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranker = Ranker(learned, size)
+        ranker = worker_kept(key, lambda: Ranker(learned, size))
         for batch in batches:
             for part in (batch.slice(i, TOGETHER) for i in range(0, batch.num_rows, TOGETHER)):
                 langs, scores = zip(*ranker.predict(part.column(1).to_pylist()))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import stored, texts
-from tickloom.llm.wordcache import Encoded, WordCache, flat, worker_kept
+from tickloom.llm.wordcache import Encoded, WordCache, flat, of_file
 
 CAPACITY = 2048
 END_ID = 1
@@ -117,7 +117,7 @@ def tokenized(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None =
     path = tokenizer or public_tokenizers.path(TOKENIZER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = worker_kept(TokenIds, path)
+        encode = of_file(TokenIds, path)
         for batch in batches:
             for part in (batch.slice(i, TOGETHER) for i in range(0, batch.num_rows, TOGETHER)):
                 rows: list[tuple] = []

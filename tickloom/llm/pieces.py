@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import texts
-from tickloom.llm.wordcache import Encoded, WordCache, flat, worker_kept
+from tickloom.llm.wordcache import Encoded, WordCache, flat, of_file
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -180,14 +180,13 @@ def encoded(docs: DataFrame, model: str | None = None) -> DataFrame:
     path = model or public_tokenizers.path(MODEL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_kept(Codec, path)
+        codec = of_file(Codec, path)
         for batch in batches:
             for part in (batch.slice(i, TOGETHER) for i in range(0, batch.num_rows, TOGETHER)):
                 found = codec.encode([t.as_py() or "" for t in part.column(1)])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([x.astype("<u4").tobytes() for x, _ in found], pa.binary()), pa.array([s for _, s in found], pa.bool_())],
-                    ["doc_id", "ids", "same"],
-                )
+                ids = pa.array([x.astype("<u4").tobytes() for x, _ in found], pa.binary())
+                same = pa.array([mark for _, mark in found], pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, same], ["doc_id", "ids", "same"])
 
     return texts(docs).mapInArrow(run, "doc_id long, ids binary, same boolean")
 

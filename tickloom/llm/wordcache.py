@@ -19,20 +19,25 @@ Encoded = tuple[list[str], np.ndarray, np.ndarray, np.ndarray]
 Encoder = Callable[[list[str]], Encoded]
 
 
-def worker_kept(kind: Callable[[str], Any], path: str) -> Any:
-    """``kind(path)``, made once per Python worker and file.
+def worker_kept(key: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once per Python worker and key.
 
     Functions reach a worker by value, so their globals end with a task; the worker itself serves
     many tasks, and what it has learned about words is the same for all of them.
     """
     kept = sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker")).__dict__
-    state = os.stat(path)
-    key = f"{kind.__name__} {path} {state.st_size} {state.st_mtime_ns}"
     if key not in kept:
-        kept[key] = kind(path)
+        kept[key] = make()
     return kept[key]
 
 
+def of_file(kind: Callable[[str], Any], path: str) -> Any:
+    """``kind(path)``, made once per Python worker and state of the file."""
+    state = os.stat(path)
+    key = f"{kind.__name__} {path} {state.st_size} {state.st_mtime_ns}"
+    return worker_kept(key, lambda: kind(path))
+
+
 class WordCache:
     """Texts as lists of words to ids; ``encode`` gives the ids of words and a mark for each."""
 
