@@ -1,0 +1,93 @@
+import random
+
+from llm_brute import WORD, documents, hard_texts, line_keepers, prose
+
+from tickloom.llm import lines
+
+
+def near(rng, line, edits):
+    chars = list(line)
+    for _ in range(edits):
+        chars[rng.randrange(len(chars))] = "*"
+    return "".join(chars)
+
+
+def corpus(rng):
+    bases = [prose(rng, rng.randrange(20, 60), 3_000) for _ in range(12)]
+    texts = [(i, t if t is None or len(t) < 50_000 else t[:3_000]) for i, t in hard_texts(rng)]
+    for i in range(60):
+        own = [near(rng, rng.choice(bases), rng.choice([0, 0, 1, 1, 2, 3])) for _ in range(rng.randrange(1, 5))]
+        texts.append((100 + i, "\n".join([*own, "", "short", prose(rng, 30, 3_000)])))
+    return texts
+
+
+def test_keepers_match_brute_force(spark):
+    texts = corpus(random.Random(21))
+    rows = lines.duplicate_lines(documents(spark, texts).repartition(3)).collect()
+    expected = line_keepers(texts)
+    found = {
+        (r.doc_id, r.line_no): (-1 if r.keeper_doc_id is None else r.keeper_doc_id, r.keeper_line_no) for r in rows
+    }
+    assert found == expected
+    for r in rows:
+        assert r.kept == ((r.doc_id, r.line_no) == (r.keeper_doc_id, r.keeper_line_no))
+    assert sum(not r.kept for r in rows) > 60
+
+
+def test_chains_and_a_large_group(spark):
+    """Lines that each resemble the next but not the first are one component."""
+    words = [f"word{i:03d}" for i in range(60)]
+    chain = [" ".join(f"new0{i:03d}" if i < 4 * j else w for i, w in enumerate(words)) for j in range(12)]
+    texts = [(i, line) for i, line in enumerate(chain)]
+    rng = random.Random(22)
+    texts += [(100 + i, near(rng, " ".join(f"else{i:03d}" for i in range(60)), 2)) for i in range(150)]
+    rows = lines.duplicate_lines(documents(spark, texts)).collect()
+    assert {(r.doc_id, r.line_no): (r.keeper_doc_id, r.keeper_line_no) for r in rows} == line_keepers(texts)
+    assert {r.doc_id for r in rows if r.kept} == {0, 100}
+
+
+def test_recall_near_the_limit(spark):
+    """Pairs at a similarity of 0.8 to 0.85 share a band as often as the numbers say."""
+    rng = random.Random(23)
+    texts, pairs = [], 0
+    while pairs < 200:
+        line = prose(rng, 60, 100_000)
+        other = near(rng, line, 4)
+        a, b = (lines_set(x) for x in (line, other))
+        if 0.8 <= len(a & b) / len(a | b) <= 0.85:
+            texts += [(2 * pairs, line), (2 * pairs + 1, other)]
+            pairs += 1
+    rows = lines.duplicate_lines(documents(spark, texts)).collect()
+    assert sum(not r.kept for r in rows) >= 195
+
+
+def lines_set(line):
+    units = line.encode("utf-16-be")
+    return {units[i : i + 16] for i in range(0, len(units) - 15, 2)}
+
+
+def test_texts_without_removed_lines(spark):
+    texts = [(2, "same line here, long enough\nown"), (1, "\nsame line here, long enough\n\n"), (3, "own"), (4, None), (5, ""), (None, "none\nown")]
+    docs = documents(spark, texts)
+    cut = lines.without_duplicates(docs)
+    assert cut.columns == docs.columns and cut.dtypes == docs.dtypes
+    found = {r.doc_id: (r.text, r.n_chars) for r in cut.collect()}
+    assert found == {
+        1: ("\nsame line here, long enough\n\n", 30), 2: ("", 0), 3: ("", 0), 4: (None, None), 5: ("", 0), None: ("none\nown", 8),
+    }
+
+
+def test_other_columns_and_rows_stay(spark):
+    texts = corpus(random.Random(24))
+    docs = documents(spark, texts)
+    cut = lines.without_duplicates(docs)
+    key = ["doc_id", "lang", "source", "key", "_row", "kinds"]
+    assert sorted(map(repr, cut.select(key).collect())) == sorted(map(repr, docs.select(key).collect()))
+    left = [line for r in cut.collect() for line in (r.text or "").split("\n") if WORD.search(line)]
+    places = {v for v in line_keepers(texts).values()}
+    assert len(left) >= len(places)
+
+
+def test_empty_table(spark):
+    assert lines.duplicate_lines(documents(spark, {})).count() == 0
+    assert lines.without_duplicates(documents(spark, {})).count() == 0
