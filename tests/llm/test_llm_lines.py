@@ -52,7 +52,7 @@ def test_recall_near_the_limit(spark):
     texts, pairs = [], 0
     while pairs < 200:
         line = prose(rng, 60, 100_000)
-        other = near(rng, line, 4)
+        other = near(rng, line, 6)
         a, b = (lines_set(x) for x in (line, other))
         if 0.8 <= len(a & b) / len(a | b) <= 0.85:
             texts += [(2 * pairs, line), (2 * pairs + 1, other)]
