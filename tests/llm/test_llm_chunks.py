@@ -95,3 +95,34 @@ def test_passages_are_caught_and_clean_documents_left(spark):
 def test_nothing_to_chunk(spark):
     assert chunks.chunks_query(documents(spark, {})).count() == 0
     assert chunks.chunks_query(documents(spark, {1: None, 2: "", 3: "a"})).count() == 0
+
+
+def slow_stretches(texts):
+    """Byte ranges of unbroken repeated stretches that have the least length or are a whole text."""
+    sizes = {i: len((t or "").encode()) for i, t in texts}
+    found, places = set(), sorted({(i, a, a + n) for i, a, n, *_ in slow_repeats(texts) if i is not None})
+    while places:
+        i, a, b = places.pop(0)
+        while places and places[0][:2] == (i, b):
+            b = places.pop(0)[2]
+        if b - a >= chunks.SPAN or (a, b) == (0, sizes[i]):
+            found.add((i, a, b))
+    return found
+
+
+def test_stretches_stay_whole_when_keepers_differ(spark):
+    """Parts of a passage that were first seen in different documents, and texts shorter than the least length."""
+    rng = random.Random(64)
+    passage = prose(rng, 90, 9_000)
+    data = passage.encode()
+    ends = chunks.cuts(data, NUMBERS)
+    parts = [data[a:b].decode() for a, b in zip([0, *ends], ends)]
+    texts = [(i, part) for i, part in enumerate(parts)]
+    texts += [(100, passage), (101, prose(rng, 30, 9_000) + passage), (200, "a short text"), (201, "a short text")]
+    rows = chunks.chunks_query(documents(spark, texts)).collect()
+    covered = {(r.doc_id, byte) for r in rows for byte in range(r.start, r.stop)}
+    assert covered == {(i, byte) for i, a, b in slow_stretches(texts) for byte in range(a, b)}
+    assert len(covered) == sum(r.stop - r.start for r in rows)
+    assert sum(r.stop - r.start for r in rows if r.doc_id == 100) == len(data)
+    assert {(r.doc_id, r.start, r.stop, r.kept) for r in rows if r.doc_id >= 200} == {(200, 0, 12, True), (201, 0, 12, False)}
+    assert min(r.stop - r.start for r in rows if r.doc_id == 100) < chunks.SPAN

@@ -25,7 +25,7 @@ from tickloom.llm.tables import stored, texts
 
 #: Bytes of a chunk at least, about, and at most; bytes that the hash looks back.
 LEAST, ABOUT, MOST, WINDOW = 24, 64, 256, 32
-#: A run of repeated chunks is reported from this many bytes on.
+#: An unbroken stretch of repeated chunks is reported from this many bytes on, a whole text always.
 SPAN = 64
 #: Bytes hashed at a time.
 PORTION = 1 << 20
@@ -70,15 +70,15 @@ def cuts(data: bytes, numbers: np.ndarray, least: int = LEAST, about: int = ABOU
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """``doc_id, start, length, high, low``: byte ranges and digests of the chunks of every whole text.
+    """``doc_id, start, length, last, high, low``: byte ranges and digests of the chunks of every whole text.
 
-    Null and empty texts have none. Ranges are bytes of UTF-8.
+    Null and empty texts have none. Ranges are bytes of UTF-8; ``last`` marks the end of the text.
     """
     numbers = gears()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[], [], [], []]
+            rows: list[list] = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = (text.as_py() or "").encode()
                 ends = cuts(data, numbers)
@@ -86,22 +86,23 @@ def chunked(docs: DataFrame) -> DataFrame:
                 rows[0] += [doc] * len(ends)
                 rows[1] += starts[: len(ends)]
                 rows[2] += ends
-                rows[3] += [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts, ends)]
+                rows[3] += [end == len(data) for end in ends]
+                rows[4] += [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts, ends)]
                 if len(rows[0]) >= 50_000:
                     yield _chunk_batch(rows)
-                    rows = [[], [], [], []]
+                    rows = [[], [], [], [], []]
             yield _chunk_batch(rows)
 
-    return texts(docs).mapInArrow(run, "doc_id long, start long, length int, high long, low long")
+    return texts(docs).mapInArrow(run, "doc_id long, start long, length int, last boolean, high long, low long")
 
 
 def _chunk_batch(rows: list[list]) -> pa.RecordBatch:
-    digests = np.frombuffer(b"".join(rows[3]), np.int64).reshape(-1, 2)
+    digests = np.frombuffer(b"".join(rows[4]), np.int64).reshape(-1, 2)
     starts = np.array(rows[1], np.int64)
     lengths = (np.array(rows[2], np.int64) - starts).astype(np.int32)
-    columns = [pa.array(rows[0], pa.int64()), pa.array(starts), pa.array(lengths)]
+    columns = [pa.array(rows[0], pa.int64()), pa.array(starts), pa.array(lengths), pa.array(rows[3], pa.bool_())]
     columns += [pa.array(np.ascontiguousarray(digests[:, i])) for i in (0, 1)]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "high", "low"])
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "last", "high", "low"])
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
@@ -123,33 +124,42 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, least: int = SPAN) -> DataFrame:
     """``doc_id, start, stop, chunks, copies, keeper_doc_id, kept``: stretches found elsewhere as well.
 
-    Neighbouring repeated chunks with the same keeping document make a span; shorter ones than
-    ``least`` bytes are left out, as single chunks can agree by chance. ``kept`` is true where the span is
-    the keeper itself; ``copies`` counts the occurrences of its rarest chunk. Documents that repeat
-    nothing have no row.
+    Repeated chunks that follow each other make a stretch. One shorter than ``least`` bytes is left
+    out, as single chunks can agree by chance, unless it is a whole text. Every other stretch is reported
+    whole, in a span for each run with the same keeping document, however short. ``kept`` is true where the
+    span is the keeper itself; ``copies`` counts the occurrences of its rarest chunk. Documents that
+    repeat nothing have no row.
     """
     own = F.col("doc_id").eqNullSafe(F.col("keeper_doc_id")) & (F.col("start") == F.col("keeper_start"))
     chunks = repeated_chunks(docs).withColumn("kept", own).dropDuplicates(["doc_id", "start", "length"])
     order = Window.partitionBy("doc_id").orderBy("start")
+    follows = F.lag("stop").over(order) == F.col("start")
     joins = (
-        (F.lag("stop").over(order) == F.col("start"))
+        follows
         & F.lag("keeper_doc_id").over(order).eqNullSafe(F.col("keeper_doc_id"))
         & (F.lag("kept").over(order) == F.col("kept"))
     )
     runs = (
         chunks.withColumn("stop", F.col("start") + F.col("length"))
+        .withColumn("_apart", F.when(follows, 0).otherwise(1))
         .withColumn("_new", F.when(joins, 0).otherwise(1))
+        .withColumn("_stretch", F.sum("_apart").over(order))
         .withColumn("_run", F.sum("_new").over(order))
     )
-    spans = runs.groupBy("doc_id", "_run").agg(
+    spans = runs.groupBy("doc_id", "_stretch", "_run").agg(
         F.min("start").alias("start"),
         F.max("stop").alias("stop"),
         F.count("*").alias("chunks"),
         F.min("copies").alias("copies"),
         F.first("keeper_doc_id").alias("keeper_doc_id"),
         F.first("kept").alias("kept"),
+        F.max("last").alias("_last"),
     )
-    return spans.where(F.col("stop") - F.col("start") >= least).drop("_run")
+    stretch = Window.partitionBy("doc_id", "_stretch")
+    first, stop = F.min("start").over(stretch), F.max("stop").over(stretch)
+    whole = (first == 0) & F.max("_last").over(stretch)
+    spans = spans.withColumn("_reported", (stop - first >= least) | whole)
+    return spans.where("_reported").drop("_stretch", "_run", "_last", "_reported")
 
 
 def chunks_query(docs: DataFrame) -> DataFrame:
