@@ -91,3 +91,29 @@ def test_other_columns_and_rows_stay(spark):
 def test_empty_table(spark):
     assert lines.duplicate_lines(documents(spark, {})).count() == 0
     assert lines.without_duplicates(documents(spark, {})).count() == 0
+
+
+def test_repeated_shingles_count_once(spark):
+    """Lines of the same shingles, repeated more or less often, are found whatever their number."""
+    unit = "lorem ipsum dolor sit amet, consectetur adipiscing elit sed do "
+    texts = ["lorem ipsum " * 4, "lorem ipsum " * 5, "buy now! " * 3, "buy now! " * 4, "ha " * 7, "ha " * 6, unit * 3, unit * 5]
+    assert all(lines_set(a) == lines_set(b) for a, b in zip(texts[::2], texts[1::2]))
+    rows = lines.duplicate_lines(documents(spark, list(enumerate(texts)))).collect()
+    assert {r.doc_id for r in rows if not r.kept} == {1, 3, 5, 7}
+
+
+def test_every_short_pair_is_found(spark):
+    """Below the bound no pair at the limit is lost, whatever its size."""
+    rng = random.Random(25)
+    texts, sizes = [], set()
+    while len(texts) < 800:
+        letters = [chr(rng.randrange(0x4E00, 0x9000)) for _ in range(rng.randrange(9, 50))]
+        line = "".join(letters)
+        other = line[rng.randrange(3) :] + "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(rng.randrange(6)))
+        a, b = lines_set(line), lines_set(other)
+        if line != other and 10 * len(a & b) >= 8 * len(a | b) and min(len(a), len(b)) < lines.SHORT:
+            texts += [(len(texts), line), (len(texts) + 1, other)]
+            sizes.add(min(len(a), len(b)))
+    rows = lines.duplicate_lines(documents(spark, texts)).collect()
+    assert {r.doc_id: r.keeper_doc_id for r in rows} == {i: i - i % 2 for i, _ in texts}
+    assert {5, 8, 15, 30, lines.SHORT - 1} <= sizes

@@ -3,10 +3,15 @@
 A line is the set of its runs of ``SHINGLE`` UTF-16 units (a shorter line is one run). Its signature comes
 from one hash per shingle: the hash range is cut into ``BANDS`` equal parts, and a band is the
 ``ROWS`` smallest hashes from the start of its part on, running into the next part if there are too
-few. Two lines share a band with about the probability of their similarity to the power of
+few. Two lines of many shingles share a band with about the probability of their similarity to the power of
 ``ROWS``; at a similarity of 0.8, five rows and thirteen bands find 99.4 % of all pairs. Pairs that share
 a band by chance grow with the square of the corpus: a larger one wants more rows and more bands.
 
+Bands of a short line overlap and miss more, so lines of fewer than ``SHORT`` shingles, and those that
+can resemble one, have exact bands: of two sets as similar as ``ALIKE`` in ``OF``, each leaves
+out at most the rest of its own size, so their ``SUBSET`` smallest common hashes are among that many more
+of the smallest of each. A band per subset of these loses no pair. Sets of up to three must be equal.
+
 Lines that share a band are checked by exact Jaccard similarity, in two rounds: first every line against
 the smallest of its bucket, then all pairs of a bucket that the first round left in different
 components. Pairs within a component need no check, so a bucket of thousands of near copies
@@ -26,6 +31,8 @@ from tickloom.llm.tables import stored
 SHINGLE, BANDS, ROWS = 8, 13, 5
 #: Similarity of 8 in 10.
 ALIKE, OF = 8, 10
+#: Lines of fewer shingles are found by subsets of so many of their smallest hashes.
+SHORT, SUBSET = 40, 3
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -55,25 +62,50 @@ def shingles(line: Column) -> Column:
     return F.get(F.transform(F.array(F.encode(line, "UTF-16BE")), hashed), F.lit(0))
 
 
-def banded(lines: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``key, bands``: the signature of each distinct line.
+def subsets(smallest: Column) -> Column:
+    """A hash for each subset of ``SUBSET`` of these sorted hashes, or one of them all if there are no more."""
 
-    A shingle that occurs several times counts as often here, not in the verified similarity.
-    """
+    def hashed(v: Column) -> Column:
+        def rest(at: Column) -> Column:
+            return F.slice(v, at + 1, F.size(v))
+
+        def pairs(x: Column, i: Column) -> Column:
+            return F.flatten(F.transform(rest(i + 1), lambda y, j: F.transform(
+                rest(i + j + 2), lambda z: F.xxhash64(F.lit(-1), x, y, z)
+            )))
+
+        return F.when(F.size(v) <= SUBSET, F.array(F.xxhash64(F.lit(-2), v))).otherwise(F.flatten(F.transform(v, pairs)))
+
+    return F.get(F.transform(F.array(smallest), hashed), F.lit(0))
+
+
+def banded(lines: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``key, bands``: the signature of each distinct line, from the set of its shingles."""
     marks = [-(1 << 63) + t * ((1 << 64) // bands) for t in range(bands)]
-    sketch = lines.select("key", F.sort_array(shingles(F.col("line"))).alias("_v"))
+    sketch = lines.select("key", F.sort_array(F.array_distinct(shingles(F.col("line")))).alias("_v"))
     sketch = sketch.select(
         "key",
+        F.size("_v").alias("_n"),
         F.concat("_v", F.slice("_v", 1, rows)).alias("_v"),
         F.sort_array(F.concat("_v", F.array(*[F.lit(m) for m in marks]))).alias("_w"),
     )
     parts = []
     for t, mark in enumerate(marks):
         start = (F.array_position("_w", F.lit(mark)) - t).cast("int")
-        parts.append(F.xxhash64(F.lit(t), F.slice("_v", start, F.lit(rows))).alias(f"_b{t}"))
-    names = [f"_b{t}" for t in range(bands)]
+        part = F.xxhash64(F.lit(t), F.slice("_v", start, F.lit(rows)))
+        parts.append(F.when(F.col("_n") >= SHORT, part).alias(f"_b{t}"))
+    # the longest line that can resemble a short one, and how many of its smallest hashes subsets come from
+    longest = (SHORT - 1) * OF // ALIKE
+    most = SUBSET + longest * (OF - ALIKE) // OF
+    taken = F.least("_n", F.floor(F.col("_n") * (OF - ALIKE) / OF) + SUBSET)
+    for i in range(most):
+        wanted = (F.col("_n") <= longest) & (F.lit(i) < taken)
+        parts.append(F.when(wanted, F.get("_v", F.lit(i))).alias(f"_s{i}"))
+    names = [f"_b{t}" for t in range(bands)] + [f"_s{i}" for i in range(most)]
     once = sketch.select("key", *parts).groupBy("key").agg(*[F.min(n).alias(n) for n in names])
-    return once.select("key", F.array(*names).alias("bands"))
+    smallest = F.array_compact(F.array(*names[bands:]))
+    exact = F.when(F.col("_s0").isNotNull(), subsets(smallest)).otherwise(F.array().cast("array<bigint>"))
+    return once.select("key", F.concat(F.array_compact(F.array(*names[:bands])), exact).alias("bands"))
 
 
 def buckets(lines: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
