@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from tickloom.llm import packing
+from tickloom.llm import chunks, lines, packing, simhash
 from tickloom.llm.sql import SQL
 
 FOLDER = "/root/testdata/sf0.01"
@@ -101,3 +101,19 @@ def test_every_operator_is_registered():
     for n in range(1, 11):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and "pipeline" not in contract.oracle_sql()
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    """Null and repeated ids: what goes from one row, or is found in it, does not touch the others."""
+    rng = random.Random(83)
+    a, b, c, d = (prose(rng, 60, 100_000) for _ in range(4))
+    for i in (None, 5):
+        docs = documents(spark, [(i, f"{a}\n{b}"), (i, f"{c}\n{b}"), (i, f"{b}\n{d}")]).repartition(3)
+        left = [r.text.split("\n") for r in lines.without_duplicates(docs).collect()]
+        assert sorted(x for t in left for x in t if x) == sorted([a, b, c, d])
+        kept = [r.text for r in simhash.keep_one(documents(spark, [(i, a), (i, b), (i, a), (9, c)])).collect()]
+        assert sorted(kept) == sorted([a, b, c])
+        spans = chunks.chunks_query(documents(spark, [(i, a), (i, f"{b}{c}"), (i, a + d), (i, f"{b}{c}{d}")])).collect()
+        assert sum(not r.kept for r in spans) >= 2
+        assert sum(r.stop - r.start for r in spans if not r.kept) > len(a) + len(b) + len(c) - 3 * chunks.MOST
+        assert sum(r.kept for r in spans) >= 2

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import stored, texts
+from tickloom.llm.tables import stored, text_key, texts
 
 #: Bytes of a chunk at least, about, and at most; bytes that the hash looks back.
 LEAST, ABOUT, MOST, WINDOW = 24, 64, 256, 32
@@ -70,16 +70,17 @@ def cuts(data: bytes, numbers: np.ndarray, least: int = LEAST, about: int = ABOU
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """``doc_id, start, length, last, high, low``: byte ranges and digests of the chunks of every whole text.
+    """``doc_id, doc_key, start, length, last, high, low``: byte ranges and digests of the chunks of every whole text.
 
-    Null and empty texts have none. Ranges are bytes of UTF-8; ``last`` marks the end of the text.
+    Null and empty texts have none. Ranges are bytes of UTF-8; ``last`` marks the end of the text, and
+    ``doc_key`` tells texts of one id, or of none, apart.
     """
     numbers = gears()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            rows: list[list] = [[] for _ in range(6)]
+            for doc, text, key in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 data = (text.as_py() or "").encode()
                 ends = cuts(data, numbers)
                 starts = [0, *ends[:-1]]
@@ -87,38 +88,45 @@ def chunked(docs: DataFrame) -> DataFrame:
                 rows[1] += starts[: len(ends)]
                 rows[2] += ends
                 rows[3] += [end == len(data) for end in ends]
+                rows[5] += [key] * len(ends)
                 rows[4] += [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts, ends)]
                 if len(rows[0]) >= 50_000:
                     yield _chunk_batch(rows)
-                    rows = [[], [], [], [], []]
+                    rows = [[] for _ in range(6)]
             yield _chunk_batch(rows)
 
-    return texts(docs).mapInArrow(run, "doc_id long, start long, length int, last boolean, high long, low long")
+    keyed = texts(docs).withColumn("doc_key", text_key(F.col("text")))
+    return keyed.mapInArrow(
+        run, "doc_id long, doc_key long, start long, length int, last boolean, high long, low long"
+    )
 
 
 def _chunk_batch(rows: list[list]) -> pa.RecordBatch:
     digests = np.frombuffer(b"".join(rows[4]), np.int64).reshape(-1, 2)
     starts = np.array(rows[1], np.int64)
     lengths = (np.array(rows[2], np.int64) - starts).astype(np.int32)
-    columns = [pa.array(rows[0], pa.int64()), pa.array(starts), pa.array(lengths), pa.array(rows[3], pa.bool_())]
+    columns = [pa.array(rows[0], pa.int64()), pa.array(rows[5], pa.int64()), pa.array(starts), pa.array(lengths)]
+    columns += [pa.array(rows[3], pa.bool_())]
     columns += [pa.array(np.ascontiguousarray(digests[:, i])) for i in (0, 1)]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "last", "high", "low"])
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "doc_key", "start", "length", "last", "high", "low"])
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """Every occurrence of a chunk found twice or more, with ``copies, keeper_doc_id, keeper_start``.
+    """Every occurrence of a chunk found twice or more, with ``copies, keeper_doc_id, keeper_start, keeper_key``.
 
-    The keeper is the occurrence of the smallest document id and then position. Occurrences without
+    The keeper is the occurrence of the smallest document id, then position, then text digest. Occurrences without
     an id come after all others. Repeated rows of a document are further copies of its places.
     """
     chunks = stored(chunked(docs), "chunks")
     digest = ["high", "low"]
     found = chunks.groupBy(*digest).agg(F.count("*").alias("copies"), F.min("doc_id").alias("keeper_doc_id"))
     again = stored(chunks.join(found.where("copies > 1"), digest), "repeated")
-    starts = (
-        again.where("doc_id <=> keeper_doc_id").groupBy(*digest).agg(F.min("start").alias("keeper_start"))
+    places = again.where("doc_id <=> keeper_doc_id").groupBy(*digest, "start").agg(F.min("doc_key").alias("key"))
+    firsts = places.groupBy(*digest).agg(F.min(F.struct("start", "key")).alias("_first"))
+    firsts = firsts.select(
+        *digest, F.col("_first.start").alias("keeper_start"), F.col("_first.key").alias("keeper_key")
     )
-    return again.join(starts, digest)
+    return again.join(firsts, digest)
 
 
 def repeated_spans(docs: DataFrame, least: int = SPAN) -> DataFrame:
@@ -130,13 +138,18 @@ def repeated_spans(docs: DataFrame, least: int = SPAN) -> DataFrame:
     span is the keeper itself; ``copies`` counts the occurrences of its rarest chunk. Documents that
     repeat nothing have no row.
     """
-    own = F.col("doc_id").eqNullSafe(F.col("keeper_doc_id")) & (F.col("start") == F.col("keeper_start"))
-    chunks = repeated_chunks(docs).withColumn("kept", own).dropDuplicates(["doc_id", "start", "length"])
-    order = Window.partitionBy("doc_id").orderBy("start")
+    own = (
+        F.col("doc_id").eqNullSafe(F.col("keeper_doc_id"))
+        & (F.col("doc_key") == F.col("keeper_key"))
+        & (F.col("start") == F.col("keeper_start"))
+    )
+    chunks = repeated_chunks(docs).withColumn("kept", own).dropDuplicates(["doc_id", "doc_key", "start", "length"])
+    order = Window.partitionBy("doc_id", "doc_key").orderBy("start")
     follows = F.lag("stop").over(order) == F.col("start")
     joins = (
         follows
         & F.lag("keeper_doc_id").over(order).eqNullSafe(F.col("keeper_doc_id"))
+        & (F.lag("keeper_key").over(order) == F.col("keeper_key"))
         & (F.lag("kept").over(order) == F.col("kept"))
     )
     runs = (
@@ -146,7 +159,7 @@ def repeated_spans(docs: DataFrame, least: int = SPAN) -> DataFrame:
         .withColumn("_stretch", F.sum("_apart").over(order))
         .withColumn("_run", F.sum("_new").over(order))
     )
-    spans = runs.groupBy("doc_id", "_stretch", "_run").agg(
+    spans = runs.groupBy("doc_id", "doc_key", "_stretch", "_run").agg(
         F.min("start").alias("start"),
         F.max("stop").alias("stop"),
         F.count("*").alias("chunks"),
@@ -155,11 +168,11 @@ def repeated_spans(docs: DataFrame, least: int = SPAN) -> DataFrame:
         F.first("kept").alias("kept"),
         F.max("last").alias("_last"),
     )
-    stretch = Window.partitionBy("doc_id", "_stretch")
+    stretch = Window.partitionBy("doc_id", "doc_key", "_stretch")
     first, stop = F.min("start").over(stretch), F.max("stop").over(stretch)
     whole = (first == 0) & F.max("_last").over(stretch)
     spans = spans.withColumn("_reported", (stop - first >= least) | whole)
-    return spans.where("_reported").drop("_stretch", "_run", "_last", "_reported")
+    return spans.where("_reported").drop("doc_key", "_stretch", "_run", "_last", "_reported")
 
 
 def chunks_query(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.tables import stored
+from tickloom.llm.tables import stored, text_key
 
 SHINGLE, BANDS, ROWS = 8, 13, 5
 #: Similarity of 8 in 10.
@@ -36,14 +36,16 @@ SHORT, SUBSET = 40, 3
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, line, key, key2``: lines with something other than ASCII white space.
+    """``doc_id, doc_key, line_no, line, key, key2``: lines with something other than ASCII white space.
 
-    Keys are two independent 64-bit hashes of the line. Null text has no lines.
+    Keys are two independent 64-bit hashes of the line; ``doc_key`` is the text's. Null text has no lines.
     """
     text = F.split(F.col("text").cast("string"), "\n")
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(text).alias("line_no", "line"))
+    ids = [F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("doc_key")]
+    lines = docs.select(*ids, F.posexplode(text).alias("line_no", "line"))
     return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
         "doc_id",
+        "doc_key",
         F.col("line_no").cast("long").alias("line_no"),
         "line",
         F.xxhash64("line").alias("key"),
@@ -173,15 +175,11 @@ def _apart(found: DataFrame, texts: DataFrame, first: DataFrame) -> DataFrame:
     return left.join(right, "band").where("a < b and _r != _s").select("a", "b").distinct()
 
 
-def duplicate_lines(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, line_no, keeper_doc_id, keeper_line_no, kept`` for every line that is not blank.
-
-    The keeper is the first line of the component by document and line number (null ids first).
-    Blank lines are never removed and have no row. Repeated rows of a document share its places.
-    """
+def keyed_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``duplicate_lines`` with ``doc_key``, which tells documents of one id, or of none, apart."""
     near = stored(line_components(docs, bands, rows), "classes")
     places = stored(
-        lines_of(docs).select("key", "key2", F.struct("doc_id", "line_no").alias("place")), "places"
+        lines_of(docs).select("key", "key2", F.struct("doc_id", "line_no", "doc_key").alias("place")), "places"
     )
     firsts = places.groupBy("key", "key2").agg(F.min("place").alias("place"), F.count("*").alias("n"))
     classed = firsts.join(near, ["key", "key2"], "left").where("n > 1 or root is not null")
@@ -192,6 +190,7 @@ def duplicate_lines(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Da
     )
     return places.join(keepers, ["key", "key2"], "left").select(
         "place.doc_id",
+        "place.doc_key",
         "place.line_no",
         F.coalesce("keeper", "place")["doc_id"].alias("keeper_doc_id"),
         F.coalesce("keeper", "place")["line_no"].alias("keeper_line_no"),
@@ -199,21 +198,36 @@ def duplicate_lines(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Da
     )
 
 
+def duplicate_lines(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``doc_id, line_no, keeper_doc_id, keeper_line_no, kept`` for every line that is not blank.
+
+    The keeper is the first line of the component by document and line number (null ids first).
+    Blank lines are never removed and have no row. Repeated rows of a document, of the same id and the
+    same text, share its places; other rows of an id have places of their own.
+    """
+    return keyed_duplicates(docs, bands, rows).drop("doc_key")
+
+
 def without_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``docs`` with the texts' removed lines taken out; ``n_chars``, if there, counts the new text.
 
     A document that loses all its lines stays, with an empty text.
     """
     gone = (
-        duplicate_lines(docs, bands, rows)
+        keyed_duplicates(docs, bands, rows)
         .where("not kept")
-        .groupBy(F.col("doc_id").alias("_doc"))
+        .groupBy(F.col("doc_id").alias("_doc"), F.col("doc_key").alias("_digest"))
         .agg(F.collect_set("line_no").alias("_gone"))
     )
     at = F.array_except(F.sequence(F.lit(0).cast("long"), F.size("_lines") - F.lit(1).cast("long")), F.col("_gone"))
     kept = F.array_join(F.transform(at, lambda i: F.get("_lines", i.cast("int"))), "\n")
-    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
-    cut = whole.join(gone, F.col("_id").eqNullSafe(F.col("_doc")), "left").select(
+    whole = docs.select(
+        F.struct(*docs.columns).alias("_row"),
+        F.col("doc_id").cast("long").alias("_id"),
+        text_key(F.col("text")).alias("_key"),
+    )
+    same = F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_digest"))
+    cut = whole.join(gone, same, "left").select(
         "_row", "_gone", F.split("_row.text", "\n").alias("_lines")
     )
     cut = cut.select("_row", F.when(F.col("_gone").isNotNull(), kept).alias("_new"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.tables import stored, texts
+from tickloom.llm.tables import stored, text_key, texts
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
 #: Bytes of text that are split into words at a time.
@@ -72,19 +72,23 @@ def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
     return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops)), "<u8", count)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp``: the fingerprint of every whole text as a signed long; null text is empty."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *kept: str) -> DataFrame:
+    """``doc_id, fp``: the fingerprint of every whole text as a signed long; null text is empty.
+
+    Long columns named ``kept`` stay beside them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter(
                 (fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows
             )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"]
-            )
+            columns = [batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", *kept])
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+    schema = "".join(f", {name} long" for name in kept)
+    whole = texts(docs, *kept)
+    return whole.mapInArrow(run, "doc_id long, fp long" + schema)
 
 
 def _nearest_words() -> np.ndarray:
@@ -190,11 +194,23 @@ def simhash_query(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """Documents that are the smallest ``doc_id`` of their group, with all their columns.
+    """One document of each group with all its columns: the smallest ``doc_id``, then digest, of the group.
 
-    Of rows that repeat this id, one stays. Rows without an id are kept: nothing tells them apart.
+    Documents are told apart by id and text, so other texts of a repeated id stay, if they are of
+    another group, and so do texts without an id, which come after all others. Equal rows are one document.
     """
-    found = near_duplicates(docs, shingle, distance)
-    chosen = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    whole = ["doc_id", "doc_key"]
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key(F.col("text")).alias("doc_key"))
+    marked = stored(fingerprints(ids, shingle, "doc_key"), "fingerprints")
+    firsts = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
+    reached = stored(components(links(firsts, distance)), "components")
+    groups = firsts.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root")
+    )
+    members = marked.join(groups, "fp")
+    ids = members.groupBy("root").agg(F.min("doc_id").alias("first"))
+    members = members.join(ids, "root").where("doc_id <=> first")
+    chosen = members.groupBy("root").agg(F.first("doc_id").alias("_doc"), F.min("doc_key").alias("_digest"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (text_key(F.col("text")) == F.col("_digest"))
+    kept = docs.join(chosen.select("_doc", "_digest"), same, "left_semi").withColumn("_digest", text_key(F.col("text")))
+    return kept.dropDuplicates(["doc_id", "_digest"]).select(docs.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.session import remove, run_folder
@@ -12,9 +12,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def texts(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` alone, whatever else the rows carry."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def texts(docs: DataFrame, *kept: str) -> DataFrame:
+    """``doc_id``, ``text`` and columns named ``kept``, whatever else the rows carry."""
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    return docs.select(*own, *kept)
+
+
+def text_key(text: Column) -> Column:
+    """Digest of a text. Ids may be null or repeated, so a document is known by its id and this."""
+    return F.xxhash64(text.cast("string"))
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
