@@ -1,0 +1,116 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tickloom.llm import centroids
+
+SCHEMA = "vec_id long, embedding array<{}>, label int, cluster string, planes int, norm int, `a.b` int"
+
+
+def vectors(spark, rows, kind="float"):
+    return spark.createDataFrame([(i, v, 0, "x", 1, 2, 3) for i, v in rows], SCHEMA.format(kind))
+
+
+def brute(rows, clusters=40, rounds=5):
+    """Plain integers, one vector at a time."""
+    kept = [
+        (i, [math.floor(256 * float(np.float32(x))) for x in v])
+        for i, v in rows if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)
+    ]
+
+    def start(row):
+        i, x = row
+        return (i is None, hashlib.sha256(f"2:{i}".encode()).hexdigest(), x)
+
+    centres = [x for _, x in sorted(kept, key=start)[:clusters]]
+
+    def nearest(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c)), n) for n, c in enumerate(centres))
+
+    for _ in range(rounds):
+        members = {}
+        for _, x in kept:
+            members.setdefault(nearest(x)[1], []).append(x)
+        centres = [
+            [sum(column) // len(members[n]) for column in zip(*members[n])] if n in members else c
+            for n, c in enumerate(centres)
+        ]
+    found = [(i, *nearest(x)[::-1]) for i, x in kept]
+    inertia = [sum(d for _, c, d in found if c == n) for n in range(len(centres))]
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return sorted(((i, c, d, inertia[c], sum(inertia), digest[c]) for i, c, d in found), key=repr)
+
+
+def result(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=repr)
+
+
+def clustered_rows(rng, count, spread, first=0):
+    middles = [[rng.gauss(0, 1) for _ in range(64)] for _ in range(12)]
+    return [(first + i, [x + rng.gauss(0, spread) for x in rng.choice(middles)]) for i in range(count)]
+
+
+@pytest.mark.parametrize("spread", [0.1, 3.0])
+def test_same_as_brute_force(spark, spread):
+    rows = clustered_rows(random.Random(131), 150, spread)
+    assert result(centroids.clusters_query(vectors(spark, rows).repartition(5))) == brute(rows)
+
+
+def test_odd_rows_copies_and_ties(spark):
+    """Other sizes, nulls, infinities, a null id, repeated rows and a point that half of all rows share."""
+    rng = random.Random(132)
+    hot = [rng.gauss(0, 1) for _ in range(64)]
+    rows = clustered_rows(rng, 60, 0.5)
+    rows += [(1000 + i, hot) for i in range(60)] + [rows[0], rows[0], (rows[1][0], rows[2][1])]
+    rows += [(None, [-0.001] * 64), (None, [0.0] * 64), (5000, [1.0] * 63), (5001, [1.0] * 65), (5002, None), (5003, [])]
+    rows += [(5004 + i, [bad] + [0.5] * 63) for i, bad in enumerate([None, math.inf, -math.inf, math.nan])]
+    found = result(centroids.clusters_query(vectors(spark, rows).repartition(3)))
+    assert found == brute(rows) and len(found) == 125
+
+
+def test_fewer_vectors_than_centroids_and_none(spark):
+    rows = clustered_rows(random.Random(133), 7, 1.0)
+    found = result(centroids.clusters_query(vectors(spark, rows)))
+    assert found == brute(rows) and {r[2] for r in found} == {0}
+    empty = centroids.clusters_query(vectors(spark, [(1, [1.0]), (2, None)]))
+    assert empty.count() == 0 and empty.columns == centroids.clusters_query(vectors(spark, rows)).columns
+
+
+def test_doubles_up_to_the_limit(spark):
+    rng = random.Random(134)
+    rows = [(i, [rng.choice([-1.0, 1.0]) * rng.random() * 2**17 for _ in range(64)]) for i in range(50)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    assert result(centroids.clusters_query(vectors(spark, rows, "double"))) == brute(rows)
+    with pytest.raises(ValueError, match="would not fit"):
+        centroids.clusters_query(vectors(spark, [(1, [2.0**19] * 64)]))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 27).flatmap(lambda planes: st.tuples(st.just(planes), st.lists(
+    st.lists(st.integers(-(1 << (planes - 1)), (1 << (planes - 1)) - 1), min_size=64, max_size=64), min_size=2, max_size=4
+))))
+def test_popcounts_give_dot_products_and_sums(drawn):
+    planes, rows = drawn
+    integers = np.array(rows, np.int64)
+    words = centroids.pack(integers, planes)
+    assert (centroids.dot_products(words, words) == integers @ integers.T).all()
+    own = np.arange(len(rows)) % 2
+    members, sums = centroids.bit_sums(words, own, 3)
+    assert members.tolist() == [(own == n).sum() for n in range(3)]
+    assert (sums == [integers[own == n].sum(axis=0) for n in range(3)]).all()
+
+
+def test_blocks_change_nothing(monkeypatch):
+    rng = np.random.default_rng(135)
+    integers = rng.integers(-200, 200, (50, 64))
+    words, norms, middles = centroids.pack(integers, 9), (integers**2).sum(axis=1), integers[:7]
+    whole = centroids.nearest(words, norms, middles), centroids.bit_sums(words, np.arange(50) % 7, 7)
+    monkeypatch.setattr(centroids, "TOGETHER", 8)
+    parts = centroids.nearest(words, norms, middles), centroids.bit_sums(words, np.arange(50) % 7, 7)
+    for a, b in zip(whole[0] + whole[1], parts[0] + parts[1]):
+        assert (a == b).all()

@@ -4,7 +4,7 @@ Not here: fingerprints, chunks, tokens, profiles and tags need hashes or models
 would need all pairs. Tests hold those against brute-force versions.
 """
 
-from tickloom.llm import chat, hamming, quality
+from tickloom.llm import centroids, chat, hamming, quality
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -138,8 +138,48 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_
 WHERE rank <= {hamming.TOP}
 """
 
+
+
+def _round(n: int) -> str:
+    """Nearest centroids of round ``n`` and, from them, those of the next one."""
+    return f""", near{n} AS (
+    SELECT row, arg_min(c, (distance, c)) AS c, min(distance) AS distance
+    FROM (SELECT row, c, list_sum(list_transform(range(1, {centroids.PARTS + 1}),
+        lambda i: (x[i] - m[i]) * (x[i] - m[i])))::BIGINT AS distance FROM kept, c{n})
+    GROUP BY row
+), sums{n} AS (
+    SELECT c, i, sum(part) AS s, count(*) AS n
+    FROM (SELECT c, unnest(x) AS part, unnest(range({centroids.PARTS})) AS i FROM kept JOIN near{n} USING (row))
+    GROUP BY ALL
+), means{n} AS (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS m FROM sums{n} GROUP BY c
+), c{n + 1} AS (
+    SELECT c, coalesce(means{n}.m, c{n}.m) AS m FROM c{n} LEFT JOIN means{n} USING (c)
+)"""
+
+
+_CLUSTERED = "".join(_round(n) for n in range(centroids.ROUNDS + 1))
+_LAST = centroids.ROUNDS
+
+CENTROIDS = f"""
+WITH kept AS (
+    SELECT *, row_number() OVER () AS row FROM (
+        SELECT vec_id, list_transform(embedding, lambda v: floor({centroids.SCALE} * v::DOUBLE)::BIGINT) AS x
+        FROM embeddings WHERE len(embedding) = {centroids.PARTS}
+            AND list_bool_and(list_transform(embedding, lambda v: coalesce(isfinite(v), false))))
+), c0 AS (
+    SELECT place - 1 AS c, x AS m FROM (
+        SELECT x, row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id) NULLS LAST, x) AS place FROM kept)
+    WHERE place <= {centroids.CLUSTERS}
+){_CLUSTERED}
+SELECT vec_id, c::INT AS cluster, distance, sum(distance) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+    sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM kept JOIN near{_LAST} USING (row) JOIN c{_LAST} USING (c)
+"""
+
 SQL: dict[str, str] = {
     "op1_chat_preferences": CHAT,
     "op2_quality_rules": QUALITY,
     "op10_hamming_top_k": HAMMING,
+    "op13_centroid_clusters": CENTROIDS,
 }
