@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import centroids, chat, chunks, hamming, language, lines, packing, pieces, quality, secret_scan, simhash
+from tickloom.llm import bins, centroids, chat, chunks, hamming, language, lines, packing, pieces, quality, secret_scan, simhash
 from tickloom.llm.sql import SQL
 from tickloom.llm.tables import table
 
@@ -51,6 +51,10 @@ def op10_hamming_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return hamming.top_k(table(spark, folder, "embeddings"))
 
 
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return bins.bins_query(table(spark, folder, "documents"))
+
+
 def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.clusters_query(table(spark, folder, "embeddings"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_scan,
         op9_chunk_dedup,
         op10_hamming_top_k,
+        op11_best_fit_packing,
         op13_centroid_clusters,
     )
 }
