@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bins, centroids, chat, chunks, hamming, language, lines, packing, pieces, quality, secret_scan, simhash
+from tickloom.llm import bins, centroids, chat, chunks, hamming, language, lines, packing, pieces, quality, repair, secret_scan, simhash
 from tickloom.llm.sql import SQL
 from tickloom.llm.tables import table
 
@@ -55,6 +55,10 @@ def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return bins.bins_query(table(spark, folder, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair_query(table(spark, folder, "conversations"))
+
+
 def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.clusters_query(table(spark, folder, "embeddings"))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chunk_dedup,
         op10_hamming_top_k,
         op11_best_fit_packing,
+        op12_conversation_repair,
         op13_centroid_clusters,
     )
 }
