@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -159,3 +160,13 @@ def test_columns_with_odd_names_are_carried_and_no_rows_give_none(spark):
     packed = bins.pack(rows).collect()
     assert sorted((r["a.b"], r.offset) for r in packed) in ([("x", 0), ("y", 3)], [("x", 3), ("y", 0)])
     assert bins.bins_query(documents(spark, {})).count() == 0
+
+
+def test_groups_of_texts_change_nothing(monkeypatch):
+    rng = random.Random(114)
+    texts = [prose(rng, 50, 300).replace(" ", rng.choice([". ", ", ", "\n", " "]), 20) + "x" * rng.randrange(100) for _ in range(60)]
+    assert [x.tolist() for x in CACHED(texts)] == [whole_ids(t) for t in texts]
+    monkeypatch.setattr(bins, "CHARACTERS", 1000)
+    table = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": texts})
+    groups = list(bins._groups(table))
+    assert len(groups) > 10 and [t for _, some in groups for t in some] == texts

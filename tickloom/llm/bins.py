@@ -22,85 +22,147 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, product
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import stored, texts
-from tickloom.llm.wordcache import Encoded, WordCache, flat, of_file
+from tickloom.llm.wordcache import of_file
 
 TOKENS = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
-#: Texts encoded together; no result depends on it.
-TOGETHER = 500
-#: What the splitter may take differently if a text is cut at white space: three white characters in a row,
-#: two at the end, other ones than space and line feed, special tokens.
-UNUSUAL = re.compile(r"\s\s\s|\s\s\Z|[^\S \n]|<\|")
+#: Characters of texts, and words, that are encoded together; no result depends on it.
+CHARACTERS, TOGETHER = 16_000_000, 1000
+#: White space other than space and line feed; special tokens and runs of these two are looked for besides.
+OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+RUNS = ["".join(run) for run in product(" \n", repeat=3)]
+#: Latin letters and the marks that end a word of them; the sign that a mark had no space before it.
+LETTER, MARKS, MARK = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]", ".,!?;:", "\x02"
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
+def unusual(text: str) -> bool:
+    """Whether the splitter may take a text differently if it is cut at white space.
+
+    That is so with three white characters in a row, two at the end, others than space and line
+    feed, with special tokens and with the sign used here.
+    """
+    return (
+        "<|" in text
+        or MARK in text
+        or text[-2:].isspace() and len(text) > 1
+        or any(run in text for run in RUNS)
+        or OTHER_SPACE.search(text) is not None
+    )
+
+
+def gathered(ids: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Slices of ``ids`` in a row."""
+    ends = np.cumsum(lengths)
+    return ids[np.repeat(first - ends + lengths, lengths) + np.arange(lengths.sum())]
+
+
+class Shown(dict):
+    """Characters to what the vocabulary writes for their bytes, asked of the splitter when they first occur.
+
+    Words have a space between them; that of a line feed is a piece of its own.
+    """
+
+    def __init__(self, tokenizer):
+        self.splitter = tokenizer.pre_tokenizer
+        self[ord(" ")] = " "
+        self[ord("\n")] = self.written("\n") + " "
+
+    def written(self, character: str) -> str:
+        return "".join(part for part, _ in self.splitter.pre_tokenize_str(character))
+
+    def __missing__(self, code: int) -> str:
+        self[code] = self.written(chr(code))
+        return self[code]
+
+
 class ByteIds:
-    """Ids of texts by the tokenizers library, each distinct word encoded once.
+    """Ids of texts by the tokenizers library, each distinct word of some texts encoded once.
 
     The splitter takes a space together with what follows it and a line feed alone, so in a text
-    without unusual white space the ids are those of its words, each with the space or line feed before it.
-    A text is put behind a line feed, whose id is taken off again, so that its first word is no exception.
+    without unusual white space the ids are those of its words, each with the space or line feed before it; and
+    a mark between a letter and white space is a piece of its own. A text is put behind a line feed, whose id is
+    taken off again, so that its first word is no exception.
     """
 
     def __init__(self, path: str):
         # a task has one core; the other ones have tasks of their own
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # words of letters are not split any further, so they can go straight to the merges
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.merger.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.shown = Shown(self.tokenizer)
+        space, (self.feed,) = self.shown.written(" "), self._ids("\n")
+        self.space = space
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
-        (self.feed,) = self._ids("\n")
-        self.cache = WordCache(self._encode)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith(space)]] = True
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _encode(self, words: list[str]) -> Encoded:
-        """Words without their space, or with their line feed. No other white space is in them."""
-        fed = [w for w in words if w[:1] == "\n" and w != "\n"]
-        plain = [w for w in words if w and w[:1] != "\n"]
-        bare = [w for w in words if w in ("", "\n")]
-        parts = [part for part in (
-            self._row(["".join(some) for some in _chunks(fed)], lambda ids: ids == self.feed),
-            self._row([" " + " ".join(some) for some in _chunks(plain)], lambda ids: self.spaced[ids]),
-            flat([self._ids(w or " ") for w in bare]) if bare else None,
-        ) if part]
-        return [*fed, *plain, *bare], *(np.concatenate(column) for column in zip(*parts))
-
-    def _row(self, joined: list[str], starts) -> tuple[np.ndarray, ...] | None:
-        """Ids of many words in a row; a word begins at each id that ``starts`` marks."""
-        if not joined:
-            return None
-        found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        ids = np.concatenate([np.array(x.ids, np.uint32) for x in found])
-        at = np.flatnonzero(starts(ids))
-        return ids, np.diff(at, append=len(ids)), np.ones(len(at), bool)
+    def _merged(self, words: pa.Array, fed: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in a row, and their numbers, of words of letters, all of them behind a line feed or a space."""
+        ends = pa.array([*range(0, len(words), TOGETHER), len(words)], pa.int32())
+        some = pc.binary_join(pa.ListArray.from_arrays(ends, words), " ").to_pylist()
+        some = [text if text.isascii() and not fed else text.translate(self.shown) for text in some]
+        if not fed:
+            some = [self.space + text.replace(" ", " " + self.space) for text in some]
+        found = self.merger.encode_batch_fast(some, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(x.ids, np.uint32) for x in found)])
+        at = np.flatnonzero(ids == self.feed if fed else self.spaced[ids])
+        return ids, np.diff(at, append=len(ids))
+
+    def _others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words with their line feed, marks, and words that had a space before them."""
+        texts = [word[1:] if word[:1] == MARK else word if word[:1] == "\n" else " " + word for word in words]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.array([*map(len, found)], np.int64)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids in a row, and where the slice of each word begins and how long it is."""
+        plain = pc.match_substring_regex(words, f"^{LETTER}+$").to_numpy(zero_copy_only=False)
+        fed = pc.match_substring_regex(words, f"^\n{LETTER}+$").to_numpy(zero_copy_only=False)
+        rest = words.filter(pa.array(~(plain | fed))).to_pylist()
+        parts = [self._merged(words.filter(pa.array(mask)), mask is fed) for mask in (plain, fed)]
+        parts.append(self._others(rest))
+        ids, counts = (np.concatenate(column) for column in zip(*parts))
+        lengths, first = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        order = np.concatenate([np.flatnonzero(mask) for mask in (plain, fed, ~(plain | fed))])
+        lengths[order], first[order] = counts, np.cumsum(counts) - counts
+        return ids, first, lengths
 
     def __call__(self, rows: list[str]) -> list[np.ndarray]:
-        behind = ["\n" + text for text in rows]
-        usual = [not UNUSUAL.search(text) for text in behind]
-        words = [text.replace("\n", " \n").split(" ")[1:] for text, good in zip(behind, usual) if good]
-        ready = iter(self.cache(words))
-        return [
-            next(ready)[0][1:] if good else np.array(self._ids(text), np.uint32) for text, good in zip(rows, usual)
-        ]
-
-
-def _chunks(words: list[str]) -> Iterator[list[str]]:
-    return (words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER))
+        """Ids of texts. Words are told apart by Arrow, and most are joined again without becoming objects."""
+        usual = [not unusual("\n" + text) for text in rows]
+        fed = pa.array(
+            ["\n" + text.replace("\n", " \n") for text, good in zip(rows, usual) if good], pa.string()
+        )
+        marked = pc.replace_substring_regex(fed, f"({LETTER})([{MARKS}])( |$)", f"\\1 {MARK}\\2\\3")
+        words = pc.split_pattern(marked, " ")
+        coded = words.flatten().dictionary_encode()
+        ids, first, lengths = self._words(coded.dictionary)
+        of_word = coded.indices.to_numpy()
+        ids, lengths = gathered(ids, first[of_word], lengths[of_word]), lengths[of_word]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)])[words.offsets.to_numpy()]
+        ready = iter([ids[a + 1 : b] for a, b in zip(ends, ends[1:])])
+        return [next(ready) if good else np.array(self._ids(text), np.uint32) for text, good in zip(rows, usual)]
 
 
 def cuts(length: int, tokens: int) -> list[int]:
@@ -120,10 +182,9 @@ def tokenized(docs: DataFrame, tokens: int = TOKENS, tokenizer: str | None = Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = of_file(ByteIds, path)
         for batch in batches:
-            for part in (batch.slice(i, TOGETHER) for i in range(0, batch.num_rows, TOGETHER)):
+            for docs, some in _groups(batch):
                 rows = []
-                found = encode([text.as_py() or "" for text in part.column(1)])
-                for doc, ids in zip(part.column(0).to_pylist(), found):
+                for doc, ids in zip(docs, encode(some)):
                     ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                     starts = cuts(len(ids), tokens)
                     for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
@@ -133,6 +194,20 @@ def tokenized(docs: DataFrame, tokens: int = TOKENS, tokenizer: str | None = Non
     return texts(docs).mapInArrow(run, PIECES)
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of some rows at a time, one at least."""
+    docs, some, size = [], [], 0
+    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        docs.append(doc)
+        some.append(text.as_py() or "")
+        size += len(some[-1])
+        if size > CHARACTERS:
+            yield docs, some
+            docs, some, size = [], [], 0
+    if docs:
+        yield docs, some
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary()}
     columns = list(zip(*rows)) or [()] * len(kinds)
