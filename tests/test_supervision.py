@@ -1,0 +1,189 @@
+"""Queries that fail and start again, what is counted, and what readers need not read."""
+
+from datetime import date, timedelta
+from threading import Event, Thread
+from time import sleep
+
+import pytest
+from conftest import moment, rows
+from pyspark.sql import functions as F
+from test_streaming import ONCE, Topic, tick
+
+from tickloom import compact as command
+from tickloom.__main__ import parser
+from tickloom.operators import alert_feed, closes, last_closes, price_history, recent_alerts, rsi, trend
+from tickloom.schema import ALERTS, HIGH_WATER, INDICATORS, LAST_CLOSES, TICKS
+from tickloom.sources import read_alerts, read_ticks
+from tickloom.streaming import (
+    ParquetTables,
+    Progress,
+    pipeline,
+    start_indicators,
+    start_pipeline,
+    start_sink,
+    store,
+    supervise,
+)
+from tickloom.streaming.job import sound_ticks, start_raw
+
+
+@pytest.fixture
+def topic(spark, tmp_path):
+    return Topic(spark, tmp_path / "topic")
+
+
+@pytest.fixture
+def tables(tmp_path):
+    return ParquetTables(str(tmp_path / "tables"))
+
+
+@pytest.fixture
+def progress(topic):
+    listener = Progress()
+    topic.session.streams.addListener(listener)
+    yield listener
+    topic.session.streams.removeListener(listener)
+
+
+def failing(topic, tables, checkpoint, times):
+    """What starts a query that fails after its second batch is written, so many times."""
+    left = [times]
+
+    def write(frame, batch):
+        store([(frame, TICKS)], tables, batch)
+        if batch.id == 1 and left[0]:
+            left[0] -= 1
+            raise RuntimeError("lost")
+
+    return lambda: start_sink(topic.ticks(), "raw", checkpoint, write, trigger=ONCE)
+
+
+def test_two_failures_lose_nothing(spark, topic, tables, tmp_path, progress):
+    for n in range(4):
+        topic.send(tick("A", f"00:0{n}:00"), tick("B", f"00:0{n}:00"))
+    supervise(topic.session, {"raw": failing(topic, tables, str(tmp_path / "c"), 2)}, pause=0.01)
+    assert tables.read(spark, TICKS).count() == 8
+    for _ in range(50):
+        if progress.counts["raw"]["batches"] == 4 and progress.counts["raw"]["failures"] == 2:
+            break
+        sleep(0.1)
+    assert progress.counts["raw"] == {"batches": 4, "rows": 8, "failures": 2, "late": 0}
+
+
+def test_too_many_failures_end_the_job(spark, topic, tables, tmp_path):
+    for n in range(3):
+        topic.send(tick("A", f"00:0{n}:00"))
+    quiet = lambda: start_sink(topic.ticks(), "quiet", str(tmp_path / "q"), lambda frame, batch: None)
+    starts = {"raw": failing(topic, tables, str(tmp_path / "c"), 5), "quiet": quiet}
+    with pytest.raises(Exception, match="lost"):
+        supervise(topic.session, starts, restarts=1, pause=0.01)
+    assert topic.session.streams.active == []
+
+
+def test_stop_ends_all(topic, tables, tmp_path):
+    topic.send(tick("A", "00:01:00"))
+    stop = Event()
+    starts = pipeline(topic.messages(), tables, str(tmp_path / "c"), more=["rollups"])
+    assert list(starts) == ["raw", "windows", "latest", "rollups"]
+    Thread(target=lambda: (sleep(5), stop.set())).start()
+    supervise(topic.session, starts, stop)
+    assert topic.session.streams.active == []
+
+
+def test_late_rows_are_counted(topic, tables, tmp_path, progress):
+    for clock in ("00:01:00", "02:00:00", "02:01:00", "00:02:00", "03:00:00"):
+        topic.send(tick("A", clock))
+    for query in start_pipeline(topic.messages(), tables, str(tmp_path / "c"), ONCE):
+        query.awaitTermination()
+    for _ in range(50):
+        if progress.counts["windows"]["late"]:
+            break
+        sleep(0.1)
+    assert progress.counts["windows"]["late"] == 1
+
+
+def test_high_water_mark_is_one_row(spark, topic, tables, tmp_path):
+    """Also over restarts, batches without sound ticks and older ticks."""
+    sent = [["00:01:00"], ["05:00:00", "04:00:00"], [], ["02:00:00"]]
+    newest = ["00:01:00", "05:00:00", "05:00:00", "05:00:00"]
+    for clocks, expected in zip(sent, newest):
+        topic.send("junk", *[tick("A", clock) for clock in clocks])
+        start_raw(topic.messages(), tables, str(tmp_path / "c"), ONCE).awaitTermination()
+        assert tables.newest(spark) == moment(expected)
+        assert tables.read_state(spark, HIGH_WATER).count() == 1
+    start_raw(topic.messages(), tables, str(tmp_path / "d"), ONCE).awaitTermination()
+    assert tables.read_state(spark, HIGH_WATER).count() == 2 and tables.newest(spark) == moment("05:00:00")
+    assert ParquetTables(f"{tables.root}-none").create(spark, HIGH_WATER) is None
+    assert ParquetTables(f"{tables.root}-none").newest(spark) is None
+
+
+def test_serving_does_not_look_for_the_newest_tick(spark, topic, tables, tmp_path):
+    """The mark comes from its own table, and histories read the folders of their days only."""
+    for day in (1, 2, 3):
+        topic.send(*[tick("A", f"0{h}:00:00", volume=90000).replace("-01T", f"-0{day}T") for h in range(4)])
+    for query in start_pipeline(topic.messages(), tables, str(tmp_path / "c"), ONCE):
+        query.awaitTermination()
+    as_of = tables.newest(spark)
+    assert as_of == moment("2024-01-03T03:00:00")
+    assert all("/high_water/" in name for name in tables.read_state(spark, HIGH_WATER).inputFiles())
+    history = price_history(read_ticks(spark, tables.path(TICKS)), "A", "1hour", as_of)
+    touched = read_ticks(spark, tables.path(TICKS)).where(F.col("day") == F.lit(date(2024, 1, 3)))
+    scan = next(x for x in history._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x)
+    assert "(day#" in scan.split("PartitionFilters")[1] and history.count() == 2 <= touched.count()
+    alerts = read_alerts(spark, tables.path(ALERTS))
+    assert recent_alerts(alerts, "A", as_of, timedelta(days=1)).count() == 4
+    for frame in (recent_alerts(alerts, "A", as_of), alert_feed(alerts, "A", as_of)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "GreaterThanOrEqual(window_end" in plan
+
+
+def test_indicators_on_a_stream(spark, topic, tables, tmp_path):
+    """Over many batches and a restart they are what the whole table of closed bars gives."""
+    texts = []
+    for hour in range(60):
+        for n, symbol in enumerate("AB"):
+            if hour % (n + 2):
+                texts.append(tick(symbol, "", price=50 + (hour * 7 + n) % 23).replace("-01T", f"-{1 + hour // 24:02}T{hour % 24:02}:30:00"))
+    for part in range(0, len(texts), 12):
+        topic.send(*texts[part : part + 12])
+        if part in (36, len(texts) - len(texts) % 12):
+            ticks = sound_ticks(topic.messages())
+            start_indicators(ticks, tables, str(tmp_path / "c"), trigger=ONCE).awaitTermination()
+    found = tables.read(spark, INDICATORS)
+    every = sound_ticks(spark.createDataFrame([(t,) for t in texts], "value string"))
+    bars = closes(every).withColumns({n: F.col(n).cast("timestamp_ntz") for n in ("window_start", "window_end")})
+    bars = bars.where("window_end <= TIMESTAMP_NTZ'2024-01-03 11:20:00'")
+    expected = rsi(bars).join(trend(bars).select("symbol", "window_start", "trend"), ["symbol", "window_start"])
+    assert rows(found) == rows(expected.select(*INDICATORS.columns))
+    assert found.where("rsi IS NOT NULL").count() > 20 and found.where("trend IS NULL").count() == 22
+    assert tables.read_state(spark, LAST_CLOSES).groupBy("symbol").count().agg(F.max("count")).first()[0] == 14
+
+
+def test_last_closes_are_the_newest(spark):
+    bars = spark.range(20).selectExpr(
+        "IF(id % 4 = 0, 'B', 'A') AS symbol", "TIMESTAMP_NTZ'2024-01-01' + make_interval(0, 0, 0, 0, CAST(id AS INT)) AS window_start",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS window_end", "CAST(id AS DECIMAL(10,2)) AS close",
+    )
+    found = [(r.symbol, int(r.close)) for r in last_closes(bars, 3).collect()]
+    assert sorted(found) == [("A", 17), ("A", 18), ("A", 19), ("B", 8), ("B", 12), ("B", 16)]
+
+
+def test_command_rewrites_every_table(spark, topic, tables, tmp_path):
+    for day in (1, 2, 3):
+        for clock in ("00:01:00", "02:00:00"):
+            topic.send(tick("A", clock, volume=90000).replace("-01T", f"-0{day}T"))
+    more = ["rollups", "late", "indicators"]
+    for query in start_pipeline(topic.messages(), tables, str(tmp_path / "c"), ONCE, more=more):
+        query.awaitTermination()
+    before = {c.table: rows(tables.read(spark, c)) for c in (TICKS, ALERTS, INDICATORS)}
+    done = command.main(["--tables", tables.root, "--before", "2024-01-03", "--keep-hours", "-1"])
+    assert done["stock_prices"] == (2, 4) and done["price_rollups"] == (2, 4)
+    assert {c.table: rows(tables.read(spark, c)) for c in (TICKS, ALERTS, INDICATORS)} == before
+    assert command.main(["--tables", tables.root, "--before", "2024-01-03"])["stock_prices"] == (0, 0)
+
+
+def test_further_queries_need_folders():
+    needed = ["--servers", "host:1", "--checkpoint", "/c"]
+    assert parser().parse_args([*needed, "--tables", "/t", "--more", "late"]).more == ["late"]
+    with pytest.raises(SystemExit):
+        parser().parse_args([*needed, "--tables", "/t", "--more", "none"])

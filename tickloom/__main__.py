@@ -10,7 +10,8 @@ from threading import Event
 from tickloom.schema import TOPIC, VOLATILITY_LIMIT, VOLUME_LIMIT, WATERMARK_DELAY, WINDOW_WIDTH
 from tickloom.session import build_session, streaming_session
 from tickloom.sources import kafka_options, read_topic_stream
-from tickloom.streaming import JdbcTables, ParquetTables, start_pipeline, wait
+from tickloom.streaming import JdbcTables, ParquetTables, Progress, pipeline, supervise
+from tickloom.streaming.job import MORE
 
 
 def parser() -> argparse.ArgumentParser:
@@ -34,6 +35,12 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--state-partitions", type=int, help="fixed by the first start")
     options.add_argument("--write-tasks", type=int, help="tasks, and so files, per table and batch")
     options.add_argument("--every", help="trigger interval such as '30 seconds'")
+    options.add_argument(
+        "--more", action="append", default=[], choices=sorted(MORE), help="further queries; with --tables only"
+    )
+    options.add_argument(
+        "--restarts", type=int, default=0, help="how often a failed query may start again within an hour"
+    )
     return options
 
 
@@ -51,7 +58,10 @@ def stop_on_signals() -> Event:
 
 def main(arguments: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
-    chosen = parser().parse_args(arguments)
+    options = parser()
+    chosen = options.parse_args(arguments)
+    if chosen.more and not chosen.tables:
+        options.error("--more needs --tables")
     spark = streaming_session(build_session(), chosen.state_partitions)
     source = pairs(chosen.source_option)
     messages = read_topic_stream(
@@ -61,17 +71,19 @@ def main(arguments: list[str] | None = None) -> None:
         tables = ParquetTables(chosen.tables, chosen.write_tasks)
     else:
         tables = JdbcTables({"url": chosen.jdbc_url, **pairs(chosen.jdbc_option)}, chosen.write_tasks)
-    start_pipeline(
+    spark.streams.addListener(Progress())
+    starts = pipeline(
         messages,
         tables,
         chosen.checkpoint,
+        more=chosen.more,
         trigger={"processingTime": chosen.every} if chosen.every else None,
         width=chosen.width,
         delay=chosen.delay,
         volatility_limit=chosen.volatility_limit,
         volume_limit=chosen.volume_limit,
     )
-    wait(spark, stop_on_signals())
+    supervise(spark, starts, stop_on_signals(), restarts=chosen.restarts)
 
 
 if __name__ == "__main__":

@@ -20,22 +20,22 @@ SHORT_MEAN = 3
 LONG_MEAN = 12
 
 
-def _arrival() -> Column:
-    """Order of ticks as one number: timestamp first, then price.
+def arrival(timestamp: str = "timestamp", price: str = "price") -> Column:
+    """Order of ticks as one number: timestamp first, then price; null without a price.
 
     A decimal key lets Spark aggregate by hash; a struct would make it sort all
     ticks. Sixteen digits before the point leave room for any decimal(18,2).
     """
-    micros = F.unix_micros(F.col("timestamp").cast("timestamp")).cast("decimal(19,0)")
-    price = F.coalesce(F.col("price").try_cast("decimal(18,2)"), F.lit(0))
-    return micros * F.lit(10**16).cast("decimal(17,0)") + price
+    micros = F.unix_micros(F.col(timestamp).cast("timestamp")).cast("decimal(19,0)")
+    amount = F.coalesce(F.col(price).try_cast("decimal(18,2)"), F.lit(0))
+    return F.when(F.col(price).isNotNull(), micros * F.lit(10**16).cast("decimal(17,0)") + amount)
 
 
-def closes(ticks: DataFrame, width: str = "1 hour") -> DataFrame:
-    """Price of the newest tick per symbol and window; the higher price wins a tie."""
+def closes(ticks: DataFrame, width: str = "1 hour", delay: str = WATERMARK_DELAY) -> DataFrame:
+    """Price of the newest tick per symbol and window; the higher price wins a tie. ``delay`` counts for streams."""
     priced = ticks.where(F.col("price").isNotNull())
-    close = F.max_by("price", _arrival()).alias("close")
-    return per_window(priced, width, WATERMARK_DELAY, close).select(*WINDOW_KEY, "close")
+    close = F.max_by("price", arrival()).alias("close")
+    return per_window(priced, width, delay, close).select(*WINDOW_KEY, "close")
 
 
 def numbered(bars: DataFrame) -> DataFrame:
@@ -83,6 +83,16 @@ def looking_back(bars: DataFrame, context: int, block: int = BLOCK) -> tuple[Dat
     return blocks, W.partitionBy("symbol", "block").orderBy("position")
 
 
+#: Closes before a bar that both indicators look back to.
+REACH = max(RSI_CHANGES, LONG_MEAN - 1)
+
+
+def last_closes(bars: DataFrame, reach: int = REACH) -> DataFrame:
+    """The newest closes of each symbol, as many as the next bar's indicators need."""
+    newest = W.partitionBy("symbol").orderBy(F.desc("window_start"))
+    return bars.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= reach).drop("_n")
+
+
 def rsi(bars: DataFrame, changes: int = RSI_CHANGES, block: int = BLOCK) -> DataFrame:
     """Relative strength index of closing prices, from plain sums of rises and falls.
 

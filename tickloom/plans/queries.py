@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import operators as op
@@ -15,13 +15,17 @@ from tickloom.schema import (
     ALERTS,
     BARS,
     DAILY_VIEW,
+    INDICATORS,
+    LAST_CLOSES,
+    LATE,
     LATEST,
     LATEST_VIEW,
     PRICE_STATS,
     QUARANTINE,
+    ROLLUP,
     TICKS,
 )
-from tickloom.session import run_folder, streaming_session, use_utc
+from tickloom.session import children, run_folder, streaming_session, use_utc
 from tickloom.sources import (
     decode_ticks,
     encode_ticks,
@@ -31,7 +35,15 @@ from tickloom.sources import (
     read_topic_stream,
     ticks_from_events,
 )
-from tickloom.streaming import ParquetTables, start_latest, start_pipeline
+from tickloom.streaming import (
+    ParquetTables,
+    compact,
+    start_indicators,
+    start_late,
+    start_latest,
+    start_pipeline,
+    start_rollups,
+)
 from tickloom.streaming.job import sound_ticks, start_raw, start_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,8 +56,12 @@ ONCE = {"availableNow": True}
 
 #: Bytes of files in a batch of the streams that take the table in any order.
 BOUNDED = {"maxBytesPerTrigger": str(2**40)}
-#: Ranges of time in which streams of windows take the table, each a batch at least.
-RANGES = 4
+#: Rows of a range of a topic, and so of a batch, about; a topic has some ranges at any size.
+RANGE_ROWS, LEAST_RANGES = 5_000_000, 4
+#: Files of a range, so that several tasks take it.
+FILES = 4
+#: Of how many events one is sent too late.
+DELAYED = 7
 
 
 def query(name: str, **settings) -> Callable:
@@ -221,37 +237,76 @@ def trend(spark, folder):
     return op.trend(stored(spark, op.closes(ticks(spark, folder), "1 hour")))
 
 
-def in_time_order(spark, folder: str, start: Callable[[DataFrame, str], list]) -> None:
-    """Send the table to a topic range by range, and have ``start``'s queries take each range.
+def turns_of(table: DataFrame, delayed: Column | None = None) -> Column | None:
+    """The number of the range of time that a row comes in; rows with ``delayed`` come a range later.
 
-    The topic is a folder of messages. Queries go on from their checkpoints, so windows close and
-    leave the state while later ranges come; no batch holds more than a range.
+    Rows without a time come first. Null for a table without any time.
     """
-    root = run_folder(spark)
-    topic, table = f"{root}/topic", events(spark, folder)
-    first, last = table.agg(F.min("ts"), F.max("ts")).first()
+    first, last, rows = table.agg(F.min("ts"), F.max("ts"), F.count("*")).first()
     if first is None:
-        first = last = datetime(1970, 1, 1)
-    width = (last - first) / RANGES + timedelta(microseconds=1)
-    for turn in range(RANGES):
-        begin, end = first + turn * width, first + (turn + 1) * width
-        kind = table.schema["ts"].dataType
-        part = table.where((F.col("ts") >= as_instant(begin, kind)) & (F.col("ts") < as_instant(end, kind)))
-        messages_from_events(part).write.mode("append").parquet(topic)
-        stream = read_topic_stream(streaming_session(spark), {}, "parquet", "value binary", topic)
-        for running in start(stream, f"{root}/checkpoint"):
-            running.awaitTermination()
+        return None
+    micros = timedelta(microseconds=1)
+    width = (last - first) // micros // max(LEAST_RANGES, -(-rows // RANGE_ROWS)) + 1
+    start = F.unix_micros(as_instant(first, table.schema["ts"].dataType).cast("timestamp"))
+    own = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - start) / F.lit(width))
+    later = F.when(delayed, 1).otherwise(0) if delayed is not None else F.lit(0)
+    return F.coalesce(own + later, F.lit(0))
+
+
+def topic_in_order(spark, folder: str, delayed: Column | None = None) -> str:
+    """The table's messages as a topic: a folder that gets ``FILES`` files at a time, range by range."""
+    root, table = run_folder(spark), events(spark, folder)
+    topic, sorted_by_turn = f"{root}/topic", f"{root}/sorted"
+    turn = turns_of(table, delayed)
+    if turn is None:
+        messages_from_events(table).repartition(FILES).write.parquet(topic)
+        return topic
+    numbered = table.withColumn("turn", turn).repartitionByRange("turn", "event_id")
+    messages_from_events(numbered, "turn").write.partitionBy("turn").parquet(sorted_by_turn)
+    names = [name for name in children(spark, sorted_by_turn) if name.startswith("turn=")]
+    for name in sorted(names, key=lambda name: int(name.partition("=")[2])):
+        part = spark.read.schema("value binary").parquet(f"{sorted_by_turn}/{name}")
+        part.repartition(FILES).write.mode("append").parquet(topic)
+    return topic
+
+
+def mixed_topic(spark, folder: str) -> str:
+    """The table's messages in files that each have ticks of all days."""
+    root, table = run_folder(spark), events(spark, folder)
+    files = FILES * max(LEAST_RANGES, -(-table.count() // RANGE_ROWS))
+    messages_from_events(table.repartition(files, "event_id")).write.parquet(f"{root}/topic")
+    return f"{root}/topic"
+
+
+def sent(spark, topic: str) -> DataFrame:
+    """A topic as a stream, range by range. State has a partition per million rows of a range, about."""
+    size = len(children(spark, topic)) // FILES or 1
+    rows = spark.read.schema("value binary").parquet(topic).count() // size
+    partitions = min(spark.sparkContext.defaultParallelism, 2 + rows // 1_000_000)
+    options = {"maxFilesPerTrigger": str(FILES)}
+    return read_topic_stream(streaming_session(spark, partitions), options, "parquet", "value binary", topic)
+
+
+def drained(spark, started: list) -> None:
+    for running in started:
+        running.awaitTermination()
+
+
+def job_over(spark, topic: str, start: Callable[[DataFrame, ParquetTables, str], list]) -> ParquetTables:
+    """Tables that ``start``'s queries have filled from a topic."""
+    root = run_folder(spark)
+    tables = ParquetTables(f"{root}/tables")
+    drained(spark, start(sent(spark, topic), tables, f"{root}/checkpoint"))
+    return tables
 
 
 def window_tables(spark, folder) -> ParquetTables:
     """Bars, stats and alerts as the job's windowed query stores them."""
-    tables = ParquetTables(f"{run_folder(spark)}/tables")
-    in_time_order(
-        spark,
-        folder,
-        lambda stream, checkpoint: [start_windows(sound_ticks(stream), tables, checkpoint, trigger=ONCE)],
-    )
-    return tables
+
+    def start(stream, tables, checkpoint):
+        return [start_windows(sound_ticks(stream), tables, checkpoint, trigger=ONCE)]
+
+    return job_over(spark, topic_in_order(spark, folder), start)
 
 
 @query("stream_price_bars", contract=BARS)
@@ -264,11 +319,10 @@ def stream_windows(spark, folder, contract):
 @query("job_tables")
 def job_tables(spark, folder):
     """Every row of every table that the whole job stores."""
-    tables = ParquetTables(f"{run_folder(spark)}/tables")
-    in_time_order(
+    tables = job_over(
         spark,
-        folder,
-        lambda stream, checkpoint: start_pipeline(stream, tables, checkpoint, ONCE),
+        topic_in_order(spark, folder),
+        lambda stream, tables, checkpoint: start_pipeline(stream, tables, checkpoint, ONCE),
     )
 
     def shown(rows: DataFrame, name: str, at: str, note: str, value: str) -> DataFrame:
@@ -294,6 +348,99 @@ def job_tables(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("stream_rsi_1h", figure="rsi")
+@query("stream_trend_1h", figure="trend")
+def stream_indicators(spark, folder, figure):
+    """Indicators of closed windows, each stored by the batch that closed it."""
+
+    def start(stream, tables, checkpoint):
+        return [start_indicators(sound_ticks(stream), tables, checkpoint, trigger=ONCE)]
+
+    rows = job_over(spark, topic_in_order(spark, folder), start).read(spark, INDICATORS)
+    return rows.select(*LAST_CLOSES.columns, figure)
+
+
+@query("late_ticks")
+def late_ticks(spark, folder):
+    """Ticks that come after their window was closed: every seventh is sent a range too late."""
+
+    def start(stream, tables, checkpoint):
+        return [start_late(sound_ticks(stream), tables, checkpoint, trigger=ONCE)]
+
+    topic = topic_in_order(spark, folder, F.col("event_id") % DELAYED == 0)
+    return job_over(spark, topic, start).read(spark, LATE)
+
+
+def rollup_table(spark, folder) -> DataFrame:
+    """Rollups as the job's query stores them, batch by batch from ticks in no order."""
+
+    def start(stream, tables, checkpoint):
+        return [start_rollups(sound_ticks(stream), tables, checkpoint, trigger=ONCE)]
+
+    return job_over(spark, mixed_topic(spark, folder), start).read(spark, ROLLUP)
+
+
+@query("rollup_price_bars_5m")
+def rollup_bars(spark, folder):
+    return op.price_bars(op.rollup_stats(op.merged(rollup_table(spark, folder))))
+
+
+@query("rollup_price_bars_1h")
+def rollup_bars_1h(spark, folder):
+    return op.price_bars(op.rollup_stats(op.coarser(rollup_table(spark, folder), "1 hour")))
+
+
+@query("rollup_alerts_1h")
+def rollup_alerts(spark, folder):
+    return op.detect_alerts(op.rollup_stats(op.coarser(rollup_table(spark, folder), "1 hour")))
+
+
+@query("rollup_daily_stats")
+def rollup_daily(spark, folder):
+    return op.rollup_days(rollup_table(spark, folder))
+
+
+@query("rollup_trend_1h")
+def rollup_trend(spark, folder):
+    return op.trend(stored(spark, op.rollup_closes(rollup_table(spark, folder))))
+
+
+def closed(tables: ParquetTables, spark, contract, combine=None) -> ParquetTables:
+    """The tables after all days but the newest one are rewritten."""
+    newest = tables.read(spark, contract).agg(F.max(F.to_date(contract.time))).first()[0]
+    if newest is not None:
+        compact(spark, tables, contract, newest, combine)
+    return tables
+
+
+@query("compacted_ticks")
+def compacted_ticks(spark, folder):
+    """The tick table after a rewrite; every batch had ticks of all days."""
+
+    def start(stream, tables, checkpoint):
+        return [start_raw(stream, tables, checkpoint, ONCE)]
+
+    tables = closed(job_over(spark, mixed_topic(spark, folder), start), spark, TICKS)
+    return tables.read(spark, TICKS).select(*TICKS.columns)
+
+
+@query("compacted_price_stats", contract=PRICE_STATS)
+@query("compacted_alerts", contract=ALERTS)
+def compacted_windows(spark, folder, contract):
+    return closed(window_tables(spark, folder), spark, contract).read(spark, contract)
+
+
+@query("compacted_daily_stats")
+def compacted_daily(spark, folder):
+    """The daily view from rollups that a rewrite has put together."""
+
+    def start(stream, tables, checkpoint):
+        return [start_rollups(sound_ticks(stream), tables, checkpoint, trigger=ONCE)]
+
+    tables = closed(job_over(spark, mixed_topic(spark, folder), start), spark, ROLLUP, op.merged)
+    return op.rollup_days(tables.read(spark, ROLLUP))
+
+
 def raw_tables(spark, folder) -> ParquetTables:
     root = run_folder(spark)
     tables = ParquetTables(f"{root}/tables")
@@ -312,13 +459,12 @@ def stream_quarantine(spark, folder):
     return raw_tables(spark, folder).read(spark, QUARANTINE)
 
 
-@query("stored_price_history_1day")
-def stored_price_history(spark, folder):
-    """History from the table the stream wrote: by day, sorted by symbol and time."""
+@query("stored_price_history_15min", choice="15min")
+@query("stored_price_history_1day", choice="1day")
+def stored_price_history(spark, folder, choice):
+    """History from the table the stream wrote: by day, sorted by symbol and time, up to its high-water mark."""
     tables = raw_tables(spark, folder)
-    return op.price_history(
-        read_ticks(spark, tables.path(TICKS)), SYMBOL, "1day", newest(spark, folder)
-    )
+    return op.price_history(read_ticks(spark, tables.path(TICKS)), SYMBOL, choice, tables.newest(spark))
 
 
 @query("stored_view_latest_prices", view=LATEST_VIEW)
@@ -329,11 +475,31 @@ def stored_view(spark, folder, view):
     return spark.sql(f"SELECT * FROM {view}")
 
 
-@query("stored_recent_alerts_1day")
-def stored_recent_alerts(spark, folder):
+def served_alerts(spark, folder) -> tuple[DataFrame, datetime | None]:
+    """The alert table of a job, and the high-water mark of its ticks."""
+
+    def start(stream, tables, checkpoint):
+        return [
+            start_raw(stream, tables, f"{checkpoint}/raw", ONCE),
+            start_windows(sound_ticks(stream), tables, f"{checkpoint}/windows", trigger=ONCE),
+        ]
+
+    tables = job_over(spark, topic_in_order(spark, folder), start)
+    return read_alerts(spark, tables.path(ALERTS)), tables.newest(spark)
+
+
+@query("stored_recent_alerts", within=HOUR)
+@query("stored_recent_alerts_1day", within=DAY)
+def stored_recent_alerts(spark, folder, within):
     """Recent alerts from the table the stream wrote."""
-    stored_alerts = read_alerts(spark, window_tables(spark, folder).path(ALERTS))
-    return op.recent_alerts(stored_alerts, SYMBOL, newest(spark, folder), DAY)
+    found, as_of = served_alerts(spark, folder)
+    return op.recent_alerts(found, SYMBOL, as_of, within)
+
+
+@query("stored_alert_feed_1day", within=DAY)
+def stored_alert_feed(spark, folder, within):
+    found, as_of = served_alerts(spark, folder)
+    return op.alert_feed(found, SYMBOL, as_of, within)
 
 
 @query("stream_latest_prices")

@@ -80,10 +80,10 @@ MESSAGE = """'{"symbol":"' || symbol || '","price":' || price || ',"volume":' ||
       || ',"timestamp":"' || strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '"}'"""
 
 NUMBERED = TICKS.replace("ticks AS (", "numbered AS (").replace("SELECT event_type", "SELECT event_id, event_type")
-# Ticks whose messages are sound, as the tick table has them.
+# Ticks as the tick table has them.
 SOUND = f"""{NUMBERED}, ticks AS (
   SELECT symbol, TRY_CAST(CAST(price AS VARCHAR) AS DECIMAL(10,2)) AS price, volume, timestamp
-  FROM numbered WHERE event_id % 10 <> 0)"""
+  FROM numbered)"""
 
 QUARANTINE = f"""WITH {NUMBERED}, messages AS (
   SELECT *, event_id // 10 % 6 AS turn, {MESSAGE} AS message FROM numbered WHERE event_id % 10 = 0)
@@ -153,6 +153,13 @@ STORED_ALERTS = _conformed(SOUND_ALERTS, "alerts", FITTING_ALERTS, f"WHERE {CLOS
 STORED_TICKS = f"WITH {SOUND} SELECT * FROM ticks"
 
 
+def _stored_alerts(span: str) -> str:
+    return f"""WITH s AS ({STORED_ALERTS}), n AS (SELECT max(ts) AS now FROM events)
+SELECT window_end AS timestamp, alert_type, value FROM s, n
+WHERE symbol = 'view' AND window_end >= now - INTERVAL '{span}'
+ORDER BY timestamp DESC, alert_type LIMIT {ALERT_ROWS}"""
+
+
 JOB = f"""WITH t AS ({STORED_TICKS}), b AS ({STORED_BARS}), s AS ({STORED_STATS}), a AS ({STORED_ALERTS}),
 l AS (SELECT DISTINCT ON (symbol) * FROM t ORDER BY symbol, timestamp DESC, volume DESC, price DESC),
 q AS ({QUARANTINE})
@@ -163,6 +170,27 @@ UNION ALL SELECT 'alerts', symbol, window_start, alert_type, CAST(value AS DOUBL
 UNION ALL SELECT 'latest', symbol, timestamp, CAST(volume AS VARCHAR), CAST(price AS DOUBLE) FROM l
 UNION ALL SELECT 'quarantine', NULL, NULL, reason || ': ' || value, NULL FROM q"""
 
+# The stream takes the table range by range; every seventh event comes a range late. A batch is held
+# against the newest time of the batches before the one before it.
+LATE = f"""WITH {NUMBERED}, span AS (
+  SELECT epoch_us(min(timestamp)) AS first,
+         (epoch_us(max(timestamp)) - epoch_us(min(timestamp))) // greatest(4, (count(*) + 4999999) // 5000000) + 1 AS width
+  FROM numbered),
+sent AS (
+  SELECT *, (epoch_us(timestamp) - first) // width + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS turn
+  FROM numbered, span),
+batches AS (SELECT *, dense_rank() OVER (ORDER BY turn) AS batch FROM sent),
+newest AS (SELECT batch, max(date_trunc('millisecond', timestamp)) AS newest FROM batches GROUP BY batch),
+marks AS (
+  SELECT batch, max(newest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
+         - INTERVAL '10 minutes' AS watermark FROM newest),
+late AS (
+  SELECT symbol, CAST(CAST(price AS VARCHAR) AS DECIMAL(10,2)) AS price, volume, timestamp,
+         time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' AS window_end, watermark,
+         'its window was closed' AS reason
+  FROM batches JOIN marks USING (batch))
+SELECT * FROM late WHERE window_end <= watermark"""
+
 SQL: dict[str, str] = {
     "price_bars_5m": f"WITH {_stats('5 minutes')} SELECT {BARS} FROM stats",
     "price_bars_1h": f"WITH {_stats('1 hour')} SELECT {BARS} FROM stats",
@@ -202,14 +230,25 @@ SELECT symbol, CAST(price AS DOUBLE) AS price, volume, timestamp FROM ticks""",
     "job_tables": JOB,
     "stream_raw_ticks": STORED_TICKS,
     "stream_quarantine": QUARANTINE,
-    "stored_price_history_1day": f"""WITH s AS ({STORED_TICKS}), n AS (SELECT max(ts) AS now FROM events)
-SELECT timestamp, price, volume FROM s, n
-WHERE symbol = 'view' AND timestamp BETWEEN now - INTERVAL '1 day' AND now ORDER BY timestamp""",
+    "stream_rsi_1h": f"{RSI.replace(TICKS, SOUND)} WHERE {CLOSED}",
+    "stream_trend_1h": f"{TREND.replace(TICKS, SOUND)} WHERE {CLOSED}",
+    "late_ticks": LATE,
+    "rollup_price_bars_5m": f"WITH {_stats('5 minutes')} SELECT {BARS} FROM stats".replace(TICKS, SOUND),
+    "rollup_price_bars_1h": f"WITH {_stats('1 hour')} SELECT {BARS} FROM stats".replace(TICKS, SOUND),
+    "rollup_alerts_1h": f"WITH {_alerts('1 hour')} SELECT {ALERTS} FROM alerts".replace(TICKS, SOUND),
+    "rollup_daily_stats": DAILY.replace(TICKS, SOUND),
+    "rollup_trend_1h": TREND.replace(TICKS, SOUND),
+    "compacted_ticks": STORED_TICKS,
+    "compacted_price_stats": STORED_STATS,
+    "compacted_alerts": STORED_ALERTS,
+    "compacted_daily_stats": DAILY.replace(TICKS, SOUND),
+    "stored_price_history_15min": _history("15 minutes").replace(TICKS, SOUND),
+    "stored_price_history_1day": _history("1 day").replace(TICKS, SOUND),
     "stored_view_latest_prices": LATEST.replace(TICKS, SOUND),
     "stored_view_daily_stats": DAILY.replace(TICKS, SOUND),
-    "stored_recent_alerts_1day": f"""WITH s AS ({STORED_ALERTS}), n AS (SELECT max(ts) AS now FROM events)
-SELECT window_end AS timestamp, alert_type, value FROM s, n
-WHERE symbol = 'view' AND window_end >= now - INTERVAL '1 day'
-ORDER BY timestamp DESC, alert_type LIMIT {ALERT_ROWS}""",
+    "stored_recent_alerts": _stored_alerts("1 hour"),
+    "stored_recent_alerts_1day": _stored_alerts("1 day"),
+    "stored_alert_feed_1day": f"""WITH recent AS ({_stored_alerts("1 day")})
+SELECT strftime(timestamp, '%H:%M:%S') AS time, alert_type, printf('%.2f', CAST(value AS DOUBLE)) AS value FROM recent""",
     "stream_latest_prices": LATEST.replace(TICKS, SOUND),
 }

@@ -28,13 +28,14 @@ class Contract:
     """A target table: column types in order, all of them NOT NULL.
 
     ``lengths`` holds the maximum length of text columns. ``key`` is the natural
-    key, empty where rows have none.
+    key, empty where rows have none. ``time`` is the column whose day a stored row belongs to.
     """
 
     table: str
     columns: dict[str, str]
     lengths: dict[str, int] = field(default_factory=dict)
     key: tuple[str, ...] = ()
+    time: str | None = None
 
     @property
     def ddl(self) -> str:
@@ -50,6 +51,7 @@ TICKS = Contract(
         "timestamp": "TIMESTAMP_NTZ",
     },
     lengths={"symbol": 10},
+    time="timestamp",
 )
 
 PRICE_STATS = Contract(
@@ -63,6 +65,7 @@ PRICE_STATS = Contract(
     },
     lengths={"symbol": 10},
     key=("symbol", "window_start"),
+    time="window_start",
 )
 
 ALERTS = Contract(
@@ -76,11 +79,11 @@ ALERTS = Contract(
     },
     lengths={"symbol": 10, "alert_type": 50},
     key=("symbol", "window_start", "alert_type"),
+    time="window_start",
 )
 
-# Bars, changes of the latest prices and rejected rows have no table in the
-# original layout; the shapes are ours.
-LATEST = replace(TICKS, table="latest_prices")
+# The other tables are not in the original layout; the shapes are ours.
+LATEST = replace(TICKS, table="latest_prices", time=None)
 
 BARS = Contract(
     "price_bars",
@@ -95,6 +98,63 @@ BARS = Contract(
     },
     lengths={"symbol": 10},
     key=("symbol", "window_start"),
+    time="window_start",
 )
 
 QUARANTINE = Contract("quarantine", {"value": "STRING", "reason": "STRING"})
+
+# Partial aggregates of a window; a window may have several rows.
+ROLLUP = Contract(
+    "price_rollups",
+    {
+        "symbol": "STRING",
+        "window_start": "TIMESTAMP_NTZ",
+        "window_end": "TIMESTAMP_NTZ",
+        "price_total": "DECIMAL(28,2)",
+        "price_count": "BIGINT",
+        "high": "DECIMAL(10,2)",
+        "low": "DECIMAL(10,2)",
+        "volume_total": "BIGINT",
+        "volume_count": "BIGINT",
+        "first_at": "TIMESTAMP_NTZ",
+        "first_price": "DECIMAL(10,2)",
+        "last_at": "TIMESTAMP_NTZ",
+        "last_price": "DECIMAL(10,2)",
+    },
+    lengths={"symbol": 10},
+    time="window_start",
+)
+
+# Ticks whose window was closed when they came, with the watermark that closed it.
+LATE = Contract(
+    "late_ticks",
+    {
+        **TICKS.columns,
+        "window_end": "TIMESTAMP_NTZ",
+        "watermark": "TIMESTAMP_NTZ",
+        "reason": "STRING",
+    },
+    time="timestamp",
+)
+
+# Indicators of a closed window, null where the history is too short, and the closes that the next ones need.
+INDICATORS = Contract(
+    "indicators",
+    {
+        "symbol": "STRING",
+        "window_start": "TIMESTAMP_NTZ",
+        "window_end": "TIMESTAMP_NTZ",
+        "close": "DECIMAL(10,2)",
+        "rsi": "DOUBLE",
+        "trend": "STRING",
+    },
+    key=("symbol", "window_start"),
+    time="window_start",
+)
+LAST_CLOSES = Contract(
+    "last_closes", {name: INDICATORS.columns[name] for name in ("symbol", "window_start", "window_end", "close")}
+)
+
+# States of one row: the newest tick so far, and the newest before the last batch.
+HIGH_WATER = Contract("high_water", {"newest": "TIMESTAMP_NTZ"})
+EVENT_TIMES = Contract("event_times", {"newest": "TIMESTAMP_NTZ", "before": "TIMESTAMP_NTZ"})

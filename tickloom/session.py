@@ -65,7 +65,24 @@ def run_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def _store(spark: SparkSession, path: str):
+    """The store that a path lies in, and the path as that store takes it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it lies; a missing one is no error."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    store, target = _store(spark, path)
+    store.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, target = _store(spark, path)
+    return store.exists(target)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; a missing one has none."""
+    store, target = _store(spark, path)
+    return [found.getPath().getName() for found in store.listStatus(target)] if store.exists(target) else []

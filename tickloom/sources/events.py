@@ -27,13 +27,15 @@ def _tick_columns(events: DataFrame) -> list[Column]:
     ]
 
 
-def messages_from_events(events: DataFrame) -> DataFrame:
-    """A topic message for every event; that of every tenth ``event_id`` is damaged.
+def messages_from_events(events: DataFrame, *kept: str) -> DataFrame:
+    """A topic message for every event, and beside it a damaged one for every tenth ``event_id``.
+
+    Columns named ``kept`` stay beside the message.
 
     In turn: cut off, text instead of JSON, a wrongly typed price, an object without the fields of a
     tick, something after the object, and two objects.
     """
-    numbered = events.select("event_id", *_tick_columns(events))
+    numbered = events.select("event_id", *kept, *_tick_columns(events))
     numbered = numbered.withColumn("text", tick_text(numbered))
     text, turn = F.col("text"), F.expr("event_id div 10 % 6")
     damaged = (
@@ -44,5 +46,5 @@ def messages_from_events(events: DataFrame) -> DataFrame:
         .when(turn == 4, F.concat(text, F.lit(" and more")))
         .otherwise(F.concat(text, text))
     )
-    value = F.when(F.col("event_id") % 10 == 0, damaged).otherwise(text)
-    return numbered.select(value.cast("binary").alias("value"))
+    both = F.when(F.col("event_id") % 10 == 0, F.array(text, damaged)).otherwise(F.array(text))
+    return numbered.select(*kept, F.explode(both).alias("value")).withColumn("value", F.col("value").cast("binary"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.schema import ALERTS, TICKS, Contract
+from tickloom.sources.rewrites import counting, rewrites
 
 
 def jdbc_options(contract: Contract, given: dict[str, str]) -> dict[str, str]:
@@ -21,10 +22,14 @@ def read_table(
 ) -> DataFrame:
     """A table as a lazy scan; predicates and columns are pushed into either kind.
 
-    ``jdbc`` options pass through, ``partitionColumn`` and its bounds included.
+    Of a table that was rewritten, the folders that count are read, as they are now: a rewrite
+    that ends later changes nothing for this scan. ``jdbc`` options pass through, ``partitionColumn`` and its bounds
+    included.
     """
     if path is not None:
-        return spark.read.parquet(path)
+        rows = spark.read.parquet(path)
+        stored_by_job = {"day", "source", "batch_id"} <= set(rows.columns)
+        return counting(rows, rewrites(spark, path)) if stored_by_job else rows
     if jdbc is None:
         raise ValueError("give a path or JDBC options")
     return spark.read.format("jdbc").options(**jdbc_options(contract, jdbc)).load()

@@ -1,6 +1,17 @@
 """Sinks that can be replayed, and the streaming job."""
 
-from tickloom.streaming.job import start_latest, start_pipeline, wait
+from tickloom.streaming.compaction import clean, compact
+from tickloom.streaming.job import (
+    Progress,
+    pipeline,
+    start_indicators,
+    start_late,
+    start_latest,
+    start_pipeline,
+    start_rollups,
+    supervise,
+    wait,
+)
 from tickloom.streaming.sinks import (
     Batch,
     JdbcTables,
@@ -15,10 +26,18 @@ __all__ = [
     "Batch",
     "JdbcTables",
     "ParquetTables",
+    "Progress",
+    "clean",
+    "compact",
+    "pipeline",
+    "start_indicators",
+    "start_late",
     "start_latest",
     "start_pipeline",
+    "start_rollups",
     "start_sink",
     "store",
+    "supervise",
     "unseen",
     "wait",
     "write_jdbc",
