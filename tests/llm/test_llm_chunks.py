@@ -87,8 +87,15 @@ def test_passages_are_caught_and_clean_documents_left(spark):
     assert {100 + i for i in range(0, 40, 4)} <= ids and {139, 300} <= ids
     assert ids & {100 + i for i in range(39) if i % 4} == set()
     assert all(r.kept == (r.doc_id == r.keeper_doc_id) for r in rows if r.doc_id and r.doc_id >= 100)
+    covered = defaultdict(set)
     for r in rows:
-        assert r.stop - r.start >= chunks.SPAN and r.copies > 1
+        assert r.copies > 1
+        covered[r.doc_id].update(range(r.start, r.stop))
+    # spans are parts of a stretch: stretches are long enough, or a whole text
+    expected = defaultdict(set)
+    for i, a, b in slow_stretches(texts):
+        expected[i].update(range(a, b))
+    assert {i: s for i, s in covered.items() if i is not None} == expected
     assert {r.keeper_doc_id for r in rows if r.doc_id == 300} == {139}
 
 

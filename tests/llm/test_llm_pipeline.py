@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from tickloom.llm import chunks, lines, packing, simhash
+from tickloom.llm import chunks, lines, packing, quality, secret_scan, simhash
 from tickloom.llm.sql import SQL
 
 FOLDER = "/root/testdata/sf0.01"
@@ -117,3 +117,18 @@ def test_rows_of_one_id_are_documents_of_their_own(spark):
         assert sum(not r.kept for r in spans) >= 2
         assert sum(r.stop - r.start for r in spans if not r.kept) > len(a) + len(b) + len(c) - 3 * chunks.MOST
         assert sum(r.kept for r in spans) >= 2
+
+
+@pytest.mark.parametrize("stage", [lines.without_duplicates, simhash.keep_one, secret_scan.without_secrets])
+def test_any_further_columns_pass_through(spark, stage):
+    rng = random.Random(84)
+    docs = documents(spark, [(i, prose(rng, 60, 100_000)) for i in range(4)])
+    docs = docs.selectExpr("*", "1 AS _doc", "'d' AS _digest", "2 AS `a.b`", "3 AS _new", "4 AS `x y`", "5 AS root")
+    found = stage(docs)
+    assert found.columns == docs.columns and sorted(map(tuple, found.collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_further_columns_pass_the_quality_rules(spark):
+    docs = documents(spark, [(1, prose(random.Random(85), 60, 100_000))]).selectExpr("*", "2 AS `a.b`", "3 AS n_words")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert [tuple(r) for r in quality.keep_good(docs, labels).collect()] == [tuple(r) for r in docs.collect()]

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.tables import stored, text_key
+from tickloom.llm.tables import plain_names, stored, text_key
 
 SHINGLE, BANDS, ROWS = 8, 13, 5
 #: Similarity of 8 in 10.
@@ -208,6 +208,7 @@ def duplicate_lines(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Da
     return keyed_duplicates(docs, bands, rows).drop("doc_key")
 
 
+@plain_names
 def without_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``docs`` with the texts' removed lines taken out; ``n_chars``, if there, counts the new text.
 

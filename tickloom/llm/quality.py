@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import stored, texts
+from tickloom.llm.tables import plain_names, stored, texts
 
 SPACE = r"[\x20\x09-\x0D]+"
 RISK, ERROR = 0.02, 0.05
@@ -219,6 +219,7 @@ def quality_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+@plain_names
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, as they are.
 

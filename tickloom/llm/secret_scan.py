@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import stored, texts
+from tickloom.llm.tables import plain_names, stored, texts
 
 #: The base patterns, in order of kind.
 KINDS = {
@@ -449,6 +449,7 @@ def _replaced(text: str, stretches: list[tuple[int, int]], mark: str) -> str:
     return "".join([*parts, text[at:]])
 
 
+@plain_names
 def without_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with secrets replaced, by a field trained on them."""
     return redacted(docs, trained(docs))

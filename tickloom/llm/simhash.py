@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.tables import stored, text_key, texts
+from tickloom.llm.tables import plain_names, stored, text_key, texts
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
 #: Bytes of text that are split into words at a time.
@@ -193,6 +193,7 @@ def simhash_query(docs: DataFrame) -> DataFrame:
     )
 
 
+@plain_names
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One document of each group with all its columns: the smallest ``doc_id``, then digest, of the group.
 
