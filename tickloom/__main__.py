@@ -8,9 +8,9 @@ import signal
 from threading import Event
 
 from tickloom.schema import TOPIC, VOLATILITY_LIMIT, VOLUME_LIMIT, WATERMARK_DELAY, WINDOW_WIDTH
-from tickloom.session import build_session, streaming_session
+from tickloom.session import build_session, exists, streaming_session
 from tickloom.sources import kafka_options, read_topic_stream
-from tickloom.streaming import JdbcTables, ParquetTables, Progress, pipeline, supervise
+from tickloom.streaming import JdbcTables, ParquetTables, Progress, hand_over, pipeline, supervise
 from tickloom.streaming.job import MORE
 
 
@@ -33,6 +33,12 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--volatility-limit", type=float, default=VOLATILITY_LIMIT)
     options.add_argument("--volume-limit", type=float, default=VOLUME_LIMIT)
     options.add_argument("--state-partitions", type=int, help="fixed by the first start")
+    options.add_argument(
+        "--windows-in", default="windows", metavar="NAME", help="checkpoint of the windowed query, below --checkpoint"
+    )
+    options.add_argument(
+        "--hand-over", metavar="NAME", help="checkpoint whose open windows --windows-in begins with, if it is new"
+    )
     options.add_argument("--write-tasks", type=int, help="tasks, and so files, per table and batch")
     options.add_argument("--every", help="trigger interval such as '30 seconds'")
     options.add_argument(
@@ -63,10 +69,12 @@ def main(arguments: list[str] | None = None) -> None:
     if chosen.more and not chosen.tables:
         options.error("--more needs --tables")
     spark = streaming_session(build_session(), chosen.state_partitions)
-    source = pairs(chosen.source_option)
-    messages = read_topic_stream(
-        spark, kafka_options(chosen.servers, chosen.topic, chosen.starting, **source)
-    )
+    source, starting = pairs(chosen.source_option), chosen.starting
+    new = f"{chosen.checkpoint}/{chosen.windows_in}"
+    if chosen.hand_over and not exists(spark, new):
+        # the other queries have checkpoints, so this is for the windowed one only
+        starting = hand_over(spark, f"{chosen.checkpoint}/{chosen.hand_over}", new) or starting
+    messages = read_topic_stream(spark, kafka_options(chosen.servers, chosen.topic, starting, **source))
     if chosen.tables:
         tables = ParquetTables(chosen.tables, chosen.write_tasks)
     else:
@@ -77,6 +85,7 @@ def main(arguments: list[str] | None = None) -> None:
         tables,
         chosen.checkpoint,
         more=chosen.more,
+        windows_in=chosen.windows_in,
         trigger={"processingTime": chosen.every} if chosen.every else None,
         width=chosen.width,
         delay=chosen.delay,

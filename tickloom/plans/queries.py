@@ -38,6 +38,7 @@ from tickloom.sources import (
 from tickloom.streaming import (
     ParquetTables,
     compact,
+    hand_over,
     start_indicators,
     start_late,
     start_latest,
@@ -255,19 +256,25 @@ def turns_of(table: DataFrame, delayed: Column | None = None) -> Column | None:
 
 def topic_in_order(spark, folder: str, delayed: Column | None = None) -> str:
     """The table's messages as a topic: a folder that gets ``FILES`` files at a time, range by range."""
+    return topics_in_order(spark, folder, 1, delayed)[0]
+
+
+def topics_in_order(spark, folder: str, parts: int, delayed: Column | None = None) -> list[str]:
+    """The same, cut into several topics, one after the other."""
     root, table = run_folder(spark), events(spark, folder)
-    topic, sorted_by_turn = f"{root}/topic", f"{root}/sorted"
+    topics, sorted_by_turn = [f"{root}/topic{n}" for n in range(parts)], f"{root}/sorted"
     turn = turns_of(table, delayed)
     if turn is None:
-        messages_from_events(table).repartition(FILES).write.parquet(topic)
-        return topic
+        for topic in topics:
+            messages_from_events(table).repartition(FILES).write.parquet(topic)
+        return topics
     numbered = table.withColumn("turn", turn).repartitionByRange("turn", "event_id")
     messages_from_events(numbered, "turn").write.partitionBy("turn").parquet(sorted_by_turn)
     names = [name for name in children(spark, sorted_by_turn) if name.startswith("turn=")]
-    for name in sorted(names, key=lambda name: int(name.partition("=")[2])):
+    for n, name in enumerate(sorted(names, key=lambda name: int(name.partition("=")[2]))):
         part = spark.read.schema("value binary").parquet(f"{sorted_by_turn}/{name}")
-        part.repartition(FILES).write.mode("append").parquet(topic)
-    return topic
+        part.repartition(FILES).write.mode("append").parquet(topics[n * parts // len(names)])
+    return topics
 
 
 def mixed_topic(spark, folder: str) -> str:
@@ -278,11 +285,11 @@ def mixed_topic(spark, folder: str) -> str:
     return f"{root}/topic"
 
 
-def sent(spark, topic: str) -> DataFrame:
+def sent(spark, topic: str, partitions: int | None = None) -> DataFrame:
     """A topic as a stream, range by range. State has a partition per million rows of a range, about."""
     size = len(children(spark, topic)) // FILES or 1
     rows = spark.read.schema("value binary").parquet(topic).count() // size
-    partitions = min(spark.sparkContext.defaultParallelism, 2 + rows // 1_000_000)
+    partitions = partitions or min(spark.sparkContext.defaultParallelism, 2 + rows // 1_000_000)
     options = {"maxFilesPerTrigger": str(FILES)}
     return read_topic_stream(streaming_session(spark, partitions), options, "parquet", "value binary", topic)
 
@@ -316,6 +323,20 @@ def stream_windows(spark, folder, contract):
     return window_tables(spark, folder).read(spark, contract)
 
 
+@query("handover_price_stats")
+def handover(spark, folder):
+    """Stats of two queries: the second begins with the windows that the first left open, in twice the partitions."""
+    root = run_folder(spark)
+    tables = ParquetTables(f"{root}/tables")
+    for n, topic in enumerate(topics_in_order(spark, folder, 2)):
+        checkpoint = f"{root}/checkpoint{n}"
+        if n:
+            hand_over(spark, f"{root}/checkpoint{n - 1}", checkpoint)
+        stream = sent(spark, topic, partitions=4 * (n + 1))
+        drained(spark, [start_windows(sound_ticks(stream), tables, checkpoint, trigger=ONCE)])
+    return tables.read(spark, PRICE_STATS)
+
+
 @query("job_tables")
 def job_tables(spark, folder):
     """Every row of every table that the whole job stores."""

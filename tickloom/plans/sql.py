@@ -232,6 +232,7 @@ SELECT symbol, CAST(price AS DOUBLE) AS price, volume, timestamp FROM ticks""",
     "stream_quarantine": QUARANTINE,
     "stream_rsi_1h": f"{RSI.replace(TICKS, SOUND)} WHERE {CLOSED}",
     "stream_trend_1h": f"{TREND.replace(TICKS, SOUND)} WHERE {CLOSED}",
+    "handover_price_stats": STORED_STATS,
     "late_ticks": LATE,
     "rollup_price_bars_5m": f"WITH {_stats('5 minutes')} SELECT {BARS} FROM stats".replace(TICKS, SOUND),
     "rollup_price_bars_1h": f"WITH {_stats('1 hour')} SELECT {BARS} FROM stats".replace(TICKS, SOUND),

@@ -1,6 +1,7 @@
 """Sinks that can be replayed, and the streaming job."""
 
 from tickloom.streaming.compaction import clean, compact
+from tickloom.streaming.handover import hand_over
 from tickloom.streaming.job import (
     Progress,
     pipeline,
@@ -29,6 +30,7 @@ __all__ = [
     "Progress",
     "clean",
     "compact",
+    "hand_over",
     "pipeline",
     "start_indicators",
     "start_late",

@@ -46,7 +46,9 @@ from tickloom.schema import (
     WATERMARK_DELAY,
     WINDOW_WIDTH,
 )
+from tickloom.session import exists
 from tickloom.sources import parse_messages
+from tickloom.streaming.handover import seeded_stats, seeds_of
 from tickloom.streaming.sinks import Batch, ParquetTables, Tables, start_sink, store
 
 
@@ -100,7 +102,10 @@ def start_windows(
     volume_limit: float = VOLUME_LIMIT,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Store bars, stats and alerts of closed windows, from one state."""
+    """Store bars, stats and alerts of closed windows, from one state.
+
+    A checkpoint that windows were handed over to begins with those.
+    """
     tables.create(ticks.sparkSession, BARS, PRICE_STATS, ALERTS, QUARANTINE)
 
     def write(stats: DataFrame, batch: Batch) -> None:
@@ -111,7 +116,11 @@ def start_windows(
         ]
         store(parts, tables, batch)
 
-    stats = windowed_stats(ticks, width, delay)
+    seeds = seeds_of(checkpoint)
+    if exists(ticks.sparkSession, seeds):
+        stats = seeded_stats(ticks, seeds, width, delay)
+    else:
+        stats = windowed_stats(ticks, width, delay)
     return start_sink(stats, "windows", checkpoint, write, trigger=trigger)
 
 
@@ -228,17 +237,19 @@ def pipeline(
     checkpoint_root: str,
     trigger: dict | None = None,
     more: Iterable[str] = (),
+    windows_in: str = "windows",
     **windows,
 ) -> dict[str, Callable[[], StreamingQuery]]:
     """What starts the raw, the windowed and the latest-price query over one message stream, by name.
 
     Each has a checkpoint of its own and goes on from there whenever it is started. ``windows`` sets widths,
-    delay and limits of :func:`start_windows`; ``more`` names queries of ``MORE``.
+    delay and limits of :func:`start_windows`; ``more`` names queries of ``MORE``. ``windows_in`` names the
+    checkpoint of the windowed query.
     """
     ticks = sound_ticks(messages)
     starts = {
         "raw": lambda: start_raw(messages, tables, f"{checkpoint_root}/raw", trigger),
-        "windows": lambda: start_windows(ticks, tables, f"{checkpoint_root}/windows", trigger=trigger, **windows),
+        "windows": lambda: start_windows(ticks, tables, f"{checkpoint_root}/{windows_in}", trigger=trigger, **windows),
         "latest": lambda: start_latest(ticks, tables, f"{checkpoint_root}/latest", trigger),
     }
     for name in more:
