@@ -187,3 +187,25 @@ def test_other_tables_and_empty_ones(spark, tables, make_ticks):
     assert tables.read(spark, ALERTS).count() == 3
     with pytest.raises(ValueError, match="no time"):
         compact(spark, tables, QUARANTINE, TODAY)
+
+
+def test_rare_symbol_reads_few_rows(spark, tables):
+    """Of a rewritten day of many symbols, the scan gives the pages of one; of unsorted files, nearly all."""
+    ticks = spark.range(400_000).selectExpr(
+        "IF(id % 1000 = 7, 'RARE', concat('S', hash(id) % 150)) AS symbol", "CAST(1 AS DECIMAL(10,2)) AS price",
+        "CAST(id AS INT) AS volume", "TIMESTAMP_NTZ'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id * 0.2) AS timestamp",
+    )
+    plain = f"{tables.root}/plain"
+    ticks.orderBy("timestamp").coalesce(1).write.parquet(plain)
+    for n in range(2):
+        tables.append(ticks.where(F.col("volume") % 2 == n), TICKS, Batch("raw", n))
+    compact(spark, tables, TICKS, TODAY)
+
+    def read(frame):
+        found = frame.where("symbol = 'RARE'").select("volume")
+        assert len(found.collect()) == 400
+        leaves = found._jdf.queryExecution().executedPlan().collectLeaves()
+        return leaves.apply(0).metrics().get("numOutputRows").get().value()
+
+    assert read(spark.read.parquet(plain)) == 400_000
+    assert read(read_ticks(spark, tables.path(TICKS))) <= 60_000

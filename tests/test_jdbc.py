@@ -91,3 +91,28 @@ def test_empty_batch_writes_nothing(spark, database):
 def test_ticks_have_no_key_and_are_appended(spark, make_ticks, database):
     JdbcTables(NOWHERE).append(make_ticks([("A", 1, 1, "00:01:00")] * 2), TICKS, BATCH)
     assert len(database["stock_prices"]) == 2
+
+
+def test_ledger_makes_ticks_exact(spark, make_ticks, database, monkeypatch):
+    """A batch of which half arrived, equal ticks among them, comes again in another order, then twice more."""
+    data = [("A", 1, 1, "00:01:00")] * 3 + [("B", n, n, "00:02:00") for n in range(6)]
+    batch = make_ticks(data, "decimal(10,2)")
+    tables, write = JdbcTables(NOWHERE, ledger=True), sinks.write_jdbc
+
+    def half(rows_, table, options, mode="append"):
+        some = rows_.collect()[::2] if table == TICKS.table else []
+        database.setdefault(table, []).extend(some)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(sinks, "write_jdbc", half)
+    with pytest.raises(RuntimeError, match="lost"):
+        tables.append(batch, TICKS, BATCH)
+    assert 0 < len(database["stock_prices"]) < 9 and "tick_batches" not in database
+    monkeypatch.setattr(sinks, "write_jdbc", write)
+    for order in ("price", "volume", "symbol"):
+        tables.append(batch.orderBy(order, ascending=False).repartition(2), TICKS, BATCH)
+        assert len(database["stock_prices"]) == 9 and len(database["tick_batches"]) == 1
+    found = sorted((r.symbol, int(r.price), r.volume) for r in database["stock_prices"])
+    assert found == sorted((s, p, v) for s, p, v, _ in data)
+    tables.append(batch, TICKS, Batch("windows", 1, again=False))
+    assert len(database["stock_prices"]) == 18 and len(set(database["stock_prices"])) == 18

@@ -28,6 +28,9 @@ def parser() -> argparse.ArgumentParser:
     target.add_argument("--tables", help="folder for parquet tables")
     target.add_argument("--jdbc-url", help="relational database instead")
     options.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
+    options.add_argument(
+        "--jdbc-ledger", action="store_true", help="the database has the ledger and its columns: ticks exactly once"
+    )
     options.add_argument("--width", default=WINDOW_WIDTH)
     options.add_argument("--delay", default=WATERMARK_DELAY)
     options.add_argument("--volatility-limit", type=float, default=VOLATILITY_LIMIT)
@@ -78,7 +81,8 @@ def main(arguments: list[str] | None = None) -> None:
     if chosen.tables:
         tables = ParquetTables(chosen.tables, chosen.write_tasks)
     else:
-        tables = JdbcTables({"url": chosen.jdbc_url, **pairs(chosen.jdbc_option)}, chosen.write_tasks)
+        options = {"url": chosen.jdbc_url, **pairs(chosen.jdbc_option)}
+        tables = JdbcTables(options, chosen.write_tasks, chosen.jdbc_ledger)
     spark.streams.addListener(Progress())
     starts = pipeline(
         messages,

@@ -155,6 +155,15 @@ LAST_CLOSES = Contract(
     "last_closes", {name: INDICATORS.columns[name] for name in ("symbol", "window_start", "window_end", "close")}
 )
 
+# Ticks of a relational table with a ledger: what tells equal ticks of a batch apart, and the batches
+# that are there as a whole.
+KEYED_TICKS = replace(
+    TICKS,
+    columns={**TICKS.columns, "source": "STRING", "batch_id": "BIGINT", "row_key": "BIGINT", "row_no": "INT"},
+    key=("row_key", "row_no"),
+)
+LEDGER = Contract("tick_batches", {"source": "STRING", "batch_id": "BIGINT"}, key=("source", "batch_id"))
+
 # States of one row: the newest tick so far, and the newest before the last batch.
 HIGH_WATER = Contract("high_water", {"newest": "TIMESTAMP_NTZ"})
 EVENT_TIMES = Contract("event_times", {"newest": "TIMESTAMP_NTZ", "before": "TIMESTAMP_NTZ"})

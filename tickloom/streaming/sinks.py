@@ -12,13 +12,13 @@ from functools import partial, reduce
 from typing import Protocol
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions import as_instant
 from tickloom.operators.contracts import as_quarantine, conform, misfit
-from tickloom.schema import HIGH_WATER, QUARANTINE, TICKS, Contract
+from tickloom.schema import HIGH_WATER, KEYED_TICKS, LEDGER, QUARANTINE, TICKS, Contract
 from tickloom.session import children, exists, remove
 from tickloom.sources.rewrites import counting, record, rewrites
 from tickloom.sources.tables import read_table
@@ -222,16 +222,24 @@ class JdbcTables:
     adds just the keys that are missing, looked up within the batch's own range of
     window starts. Ticks have no key: a batch that failed half-way can leave
     duplicates there, which the parquet tables avoid. ``tasks`` bounds the connections of one write.
+
+    With ``ledger`` the table of ticks has the further columns of ``KEYED_TICKS``, and ``LEDGER`` names the batches
+    that are stored as a whole. A tick is known by its batch, a hash of its values and its number among
+    equal ones, none of which depends on the order of rows, so a repeated batch adds what is missing.
     """
 
     options: dict[str, str]
     tasks: int | None = None
+    ledger: bool = False
 
     def create(self, spark: SparkSession, *contracts: Contract) -> None:
         """Relational tables are made by their owner."""
 
     def append(self, rows: DataFrame, contract: Contract, batch: Batch) -> None:
         rows = in_tasks(rows, self.tasks, batch)
+        if contract is TICKS and self.ledger:
+            self._append_keyed(rows, batch)
+            return
         if contract.key:
             starts = F.min("window_start").alias("first"), F.max("window_start").alias("last")
             first, last = rows.agg(*starts).first()
@@ -243,6 +251,24 @@ class JdbcTables:
             rows = unseen(rows, stored.where(F.col("window_start").between(*span)), contract.key)
         write_jdbc(rows, contract.table, self.options)
 
+    def _append_keyed(self, rows: DataFrame, batch: Batch) -> None:
+        """Ticks first, the batch's entry in the ledger last; only a batch that may be a repeat is looked up."""
+        spark = rows.sparkSession
+        own = (F.col("source") == batch.source) & (F.col("batch_id") == batch.id)
+        equal = Window.partitionBy(*TICKS.columns).orderBy("row_key")
+        keyed = rows.select(
+            *TICKS.columns,
+            F.lit(batch.source).alias("source"),
+            F.lit(batch.id).cast("long").alias("batch_id"),
+            F.xxhash64(*TICKS.columns).alias("row_key"),
+        ).withColumn("row_no", F.row_number().over(equal))
+        if batch.again:
+            if not read_table(spark, LEDGER, jdbc=self.options).where(own).isEmpty():
+                return
+            keyed = unseen(keyed, read_table(spark, KEYED_TICKS, jdbc=self.options).where(own), KEYED_TICKS.key)
+        write_jdbc(keyed.select(*KEYED_TICKS.columns), TICKS.table, self.options)
+        write_jdbc(spark.createDataFrame([(batch.source, batch.id)], LEDGER.ddl), LEDGER.table, self.options)
+
     def merge(
         self,
         rows: DataFrame,
