@@ -1,6 +1,8 @@
 import random
 import zlib
+from collections import Counter
 
+import xxhash
 from llm_brute import documents, hard_texts
 
 from tickloom.llm import language
@@ -32,8 +34,6 @@ def test_profiles_hold_the_most_frequent(spark):
     docs = docs.where("crc32(cast(string(doc_id) as binary)) % 5 != 0")
     learned = language.profiles(docs, 4)
     assert None not in learned and "y" not in learned
-    from collections import Counter
-
     words = {1: "ab ab ab", 2: "ba"}
     counts = Counter(g for i, t in words.items() if zlib.crc32(str(i).encode()) % 5 for w in t.split() for g in language.grams(w))
     assert learned["x"] == [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:4]]
@@ -69,3 +69,56 @@ def test_memory_does_not_change_a_prediction(monkeypatch):
     monkeypatch.setattr(language, "REMEMBERED", 5)
     ranker = language.Ranker(learned, 20)
     assert [ranker.predict([t])[0] for t in texts] == whole
+
+
+def letters(text):
+    """Runs of letters, one character at a time."""
+    words, word = [], ""
+    for c in (text or "").lower() + " ":
+        if c.isalpha():
+            word += c
+        else:
+            words, word = (words + [word] if word else words), ""
+    return words
+
+
+def tally(words):
+    counts = Counter()
+    for word in words:
+        framed = f"_{word}_"
+        counts.update(framed[a:b] for a in range(len(framed)) for b in range(a + 1, min(a + 3, len(framed)) + 1))
+    del counts["_"]
+    return counts
+
+
+def brute(rows):
+    """The query over plain lists: profiles, ranks and distances by definition."""
+    learned = {}
+    for i, t, lang in rows:
+        if lang is not None and (i is None or zlib.crc32(str(i).encode()) % 5):
+            learned.setdefault(lang, Counter()).update(tally(letters(t)))
+    tops = {lang: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0].encode()))[:400]] for lang, c in learned.items() if c}
+    found = []
+    for i, t, _ in rows:
+        own = sorted(tally(letters(t)).items(), key=lambda x: (-x[1], xxhash.xxh64_intdigest(x[0].encode())))[:400]
+        far = {
+            lang: sum(abs(n - top.index(g)) if g in top else 400 for n, (g, _) in enumerate(own))
+            for lang, top in tops.items()
+        }
+        best = min(sorted(far), key=far.get) if own and far else "und"
+        score = 1 - far[best] / (400 * len(own)) if own and far else 0.0
+        found.append((i, i is not None and zlib.crc32(str(i).encode()) % 5 == 0, best, round(score, 12)))
+    return sorted(found, key=repr)
+
+
+def test_query_is_what_brute_force_gives(spark):
+    rng = random.Random(34)
+    rows = []
+    for i in range(120):
+        lang = rng.choice(list(ENDINGS))
+        rows.append((i, text(rng, lang, rng.randrange(1, 60)) + rng.choice(["", " 12½ x²y", "\nÄpfel Ⅷ!", "_a_"]), rng.choice([lang, lang, None])))
+    rows += [(200 + i, t, None) for i, t in enumerate(["²", "½ ⅓", "Ⅷ Ⅻ", "١٢", "é", "你好", "", None, "a²"])] + [(None, "the thing", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    found = language.language_query(docs).collect()
+    assert sorted(((r.doc_id, r.held_out, r.lang_pred, round(r.score, 12)) for r in found), key=repr) == brute(rows)
+    assert {r.lang_pred for r in found if r.doc_id in (200, 201, 202, 203)} == {"und"}

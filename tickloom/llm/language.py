@@ -13,6 +13,7 @@ to the driver.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,7 +30,9 @@ LONGEST, PROFILE = 3, 400
 #: N-grams a task remembers, words it counts before it hands them on, texts ranked together, most languages.
 REMEMBERED, COUNTED, TOGETHER, MOST_LANGUAGES = 500_000, 400_000, 200, 10_000
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+")
+#: Digits, fractions, Roman numerals and the like, which are word characters but no letters.
+NUMERALS = re.escape("".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha()))
+WORD = re.compile(rf"[^\W_{NUMERALS}]+")
 
 
 def held_out(doc_id: Column) -> Column:
