@@ -20,6 +20,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tickloom.plans import QUERIES  # noqa: E402
 
 
+STREAMS = ("stream_", "stored_", "job_", "late_", "rollup_", "compacted_", "handover_")
+
+
 def session(cpus: int) -> SparkSession:
     scratch = tempfile.mkdtemp(prefix="run-")
     return (
@@ -60,7 +63,7 @@ def main() -> None:
         seconds(QUERIES[name], spark, folder)
     times = {}
     for name, query in QUERIES.items():
-        repeats = 1 if name.startswith(("stream_", "stored_", "job_")) else runs
+        repeats = 1 if name.startswith(STREAMS) else runs
         times[name] = round(min(seconds(query, spark, folder) for _ in range(repeats)), 3)
     spark.stop()
     result = {
