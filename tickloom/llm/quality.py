@@ -233,5 +233,8 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.struct(*[F.col(c).alias(n) for c, n in zip(docs.columns, names)]).alias("_row"),
         "doc_id", "text", "lang",
     )
-    judged = counts(own, "_row", "lang").where(~base_failed() & ~rejected(cutoffs))
+    counted = counts(own, "_row", "lang")
+    # filters stay above a generator; below it they would count every document again for each signal
+    once = counted.select(F.inline(F.array(F.struct(*counted.columns))))
+    judged = once.where(~base_failed() & ~rejected(cutoffs))
     return judged.select(*[F.col(f"_row.{n}").alias(c) for c, n in zip(docs.columns, names)])
