@@ -83,28 +83,35 @@ def subsets(smallest: Column) -> Column:
 
 def banded(lines: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``key, bands``: the signature of each distinct line, from the set of its shingles."""
-    marks = [-(1 << 63) + t * ((1 << 64) // bands) for t in range(bands)]
-    sketch = lines.select("key", F.sort_array(F.array_distinct(shingles(F.col("line")))).alias("_v"))
-    sketch = sketch.select(
-        "key",
-        F.size("_v").alias("_n"),
-        F.concat("_v", F.slice("_v", 1, rows)).alias("_v"),
-        F.sort_array(F.concat("_v", F.array(*[F.lit(m) for m in marks]))).alias("_w"),
-    )
-    parts = []
-    for t, mark in enumerate(marks):
-        start = (F.array_position("_w", F.lit(mark)) - t).cast("int")
-        part = F.xxhash64(F.lit(t), F.slice("_v", start, F.lit(rows)))
-        parts.append(F.when(F.col("_n") >= SHORT, part).alias(f"_b{t}"))
+    marks = F.array(*[F.lit(-(1 << 63) + t * ((1 << 64) // bands)) for t in range(bands)])
     # the longest line that can resemble a short one, and how many of its smallest hashes subsets come from
     longest = (SHORT - 1) * OF // ALIKE
     most = SUBSET + longest * (OF - ALIKE) // OF
-    taken = F.least("_n", F.floor(F.col("_n") * (OF - ALIKE) / OF) + SUBSET)
-    for i in range(most):
-        wanted = (F.col("_n") <= longest) & (F.lit(i) < taken)
-        parts.append(F.when(wanted, F.get("_v", F.lit(i))).alias(f"_s{i}"))
+
+    def let(value: Column, body) -> Column:
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+
+    def cut(v: Column) -> Column:
+        """Bands of sorted hashes: marks are sorted in among them, so their places say where parts begin."""
+        both = F.struct(F.concat(v, F.slice(v, 1, rows)).alias("v"), F.sort_array(F.concat(v, marks)).alias("w"))
+        return let(both, lambda p: F.transform(marks, lambda mark, t: F.xxhash64(
+            t, F.slice(p["v"], (F.array_position(p["w"], mark) - t).cast("int"), F.lit(rows))
+        )))
+
+    def sketch(v: Column) -> Column:
+        taken = F.least(F.size(v), F.floor(F.size(v) * (OF - ALIKE) / OF).cast("int") + SUBSET)
+        return F.struct(
+            F.when(F.size(v) >= SHORT, cut(v)).alias("_bands"),
+            F.when(F.size(v) <= longest, F.slice(v, F.lit(1), taken)).alias("_small"),
+        )
+
+    made = let(F.sort_array(F.array_distinct(shingles(F.col("line")))), sketch)
+    # what a generator gives is computed once, however many columns are taken from it
+    once = lines.select("key", F.inline(F.array(made)))
+    parts = [F.get("_bands", F.lit(t)).alias(f"_b{t}") for t in range(bands)]
+    parts += [F.get("_small", F.lit(i)).alias(f"_s{i}") for i in range(most)]
     names = [f"_b{t}" for t in range(bands)] + [f"_s{i}" for i in range(most)]
-    once = sketch.select("key", *parts).groupBy("key").agg(*[F.min(n).alias(n) for n in names])
+    once = once.select("key", *parts).groupBy("key").agg(*[F.min(n).alias(n) for n in names])
     smallest = F.array_compact(F.array(*names[bands:]))
     exact = F.when(F.col("_s0").isNotNull(), subsets(smallest)).otherwise(F.array().cast("array<bigint>"))
     return once.select("key", F.concat(F.array_compact(F.array(*names[:bands])), exact).alias("bands"))
