@@ -39,7 +39,7 @@ TOKENS = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 #: Characters of texts, and words, that are encoded together; no result depends on it.
-CHARACTERS, TOGETHER = 16_000_000, 1000
+CHARACTERS, TOGETHER = 6_000_000, 1000
 #: White space other than space and line feed; special tokens and runs of these two are looked for besides.
 OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 RUNS = ["".join(run) for run in product(" \n", repeat=3)]
