@@ -13,7 +13,6 @@ to the driver.
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,9 +29,15 @@ LONGEST, PROFILE = 3, 400
 #: N-grams a task remembers, words it counts before it hands them on, texts ranked together, most languages.
 REMEMBERED, COUNTED, TOGETHER, MOST_LANGUAGES = 500_000, 400_000, 200, 10_000
 UNKNOWN = "und"
-#: Digits, fractions, Roman numerals and the like, which are word characters but no letters.
-NUMERALS = re.escape("".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha()))
-WORD = re.compile(rf"[^\W_{NUMERALS}]+")
+WORD = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters in lower case. Fractions, Roman numerals and the like match ``WORD`` but are none."""
+    words = WORD.findall(text.lower())
+    if not words or "".join(words).isalpha():
+        return words
+    return "".join(c if c.isalpha() else " " for c in " ".join(words)).split()
 
 
 def held_out(doc_id: Column) -> Column:
@@ -56,7 +61,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = counts.setdefault(lang, Counter())
-                own.update(WORD.findall((text.as_py() or "").lower()))
+                own.update(words_of(text.as_py() or ""))
             if sum(map(len, counts.values())) > COUNTED:
                 yield _counted(counts)
                 counts = {}
@@ -133,7 +138,7 @@ class Ranker:
         if len(self.grams) > REMEMBERED:
             self.clear()
         found = []
-        for ids, _ in self.cache([WORD.findall(text.lower()) for text in texts]):
+        for ids, _ in self.cache([words_of(text) for text in texts]):
             counts = np.bincount(ids)
             seen = np.flatnonzero(counts)
             found.append(seen[np.lexsort((self.grams.ties[seen], -counts[seen]))][: self.size])
