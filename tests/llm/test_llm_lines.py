@@ -117,3 +117,46 @@ def test_every_short_pair_is_found(spark):
     rows = lines.duplicate_lines(documents(spark, texts)).collect()
     assert {r.doc_id: r.keeper_doc_id for r in rows} == {i: i - i % 2 for i, _ in texts}
     assert {5, 8, 15, 30, lines.SHORT - 1} <= sizes
+
+
+def test_half_alike_lines_are_not_paired_out(spark, monkeypatch):
+    """Lines that share bands with a whole group without being alike are excluded without a check of every pair."""
+    rng = random.Random(26)
+    base = prose(rng, 60, 3_000)
+    group = [near(rng, base, rng.choice([0, 1, 2])) for _ in range(30)]
+    for _ in range(370):
+        chars = list(base)
+        for at in rng.sample(range(len(chars)), 8):
+            chars[at] = chr(rng.randrange(0x4E00, 0x9000))
+        group.append("".join(chars))
+    texts = list(enumerate(dict.fromkeys(group)))
+    checked, alike = [], lines.alike
+
+    def counted(pairs, known):
+        checked.append(pairs.count())
+        return alike(pairs, known)
+
+    monkeypatch.setattr(lines, "alike", counted)
+    rows = lines.duplicate_lines(documents(spark, texts)).collect()
+    assert {(r.doc_id, r.line_no): (r.keeper_doc_id, r.keeper_line_no) for r in rows} == line_keepers(texts)
+    assert sum(checked) < 25 * len(texts)
+
+
+def test_rare_shingles_lose_no_alike_pair(spark):
+    """Every pair at the limit is among the candidates, whatever the sizes, and none of one component."""
+    rng = random.Random(27)
+    base, kinds = prose(rng, 50, 3_000), []
+    for _ in range(120):
+        at = rng.randrange(len(base) // 4)
+        kinds.append(near(rng, base[at : len(base) - rng.randrange(60)], rng.randrange(6)))
+    kinds = list(dict.fromkeys(kinds))
+    sets = [lines_set(line) for line in kinds]
+    rows = [(i, i, line, len(s), i % 5) for i, (line, s) in enumerate(zip(kinds, sets))]
+    table = spark.createDataFrame(rows, "id long, key long, line string, size int, root long")
+    found = [(r.a, r.b) for r in lines._by_rare_shingles(table).collect()]
+    near_pairs = {
+        (i, j) for j in range(len(sets)) for i in range(j)
+        if i % 5 != j % 5 and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])
+    }
+    assert len(near_pairs) > 500 and near_pairs <= set(found)
+    assert all(a < b and a % 5 != b % 5 for a, b in found)

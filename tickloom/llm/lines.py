@@ -13,9 +13,11 @@ out at most the rest of its own size, so their ``SUBSET`` smallest common hashes
 of the smallest of each. A band per subset of these loses no pair. Sets of up to three must be equal.
 
 Lines that share a band are checked by exact Jaccard similarity, in two rounds: first every line against
-the smallest of its bucket, then all pairs of a bucket that the first round left in different
+one of its bucket, the one that meets most lines, then what the first round left in different
 components. Pairs within a component need no check, so a bucket of thousands of near copies
-costs a star and what falls out of it, and no link between components is lost. Components keep
+costs a star and what falls out of it. What falls out of large buckets is paired by the shingles that are rarest among
+these lines: a line with too many of its own resembles none and meets none, and a pair that meets is checked only if
+what stands before the shingle they share can be enough. No link between components is lost. Components keep
 the line that comes first by document and line number. Equal lines are one line from the start,
 combined in the tasks, so a line that fills a third of the corpus weighs one row per task.
 """
@@ -33,6 +35,10 @@ SHINGLE, BANDS, ROWS = 8, 13, 5
 ALIKE, OF = 8, 10
 #: Lines of fewer shingles are found by subsets of so many of their smallest hashes.
 SHORT, SUBSET = 40, 3
+#: Lines of a bucket that may all be paired.
+FEW = 16
+#: Steps of a line's size, as many for each factor of e.
+LEVELS = 16
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -118,16 +124,23 @@ def banded(lines: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
 
 def buckets(lines: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``band, key, leader``: lines that share a band with another; the leader is the smallest."""
+    """``band, key, n, leader``: lines that share a band with another, and how many share it.
+
+    The leader is the line that meets most others, counted over all its bands: of a group of near copies one
+    that was changed least, which most of the group resemble.
+    """
     spread = banded(lines, bands, rows).select("key", F.explode("bands").alias("band"))
     order = Window.partitionBy("band").orderBy("key")
     near = spread.select(
-        "band",
-        "key",
-        F.first("key").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("leader"),
-        F.lead("key").over(order).alias("_next"),
+        "band", "key", F.lag("key").over(order).alias("_before"), F.lead("key").over(order).alias("_next")
     )
-    return near.where("key != leader or _next is not null").drop("_next")
+    near = near.where("_before is not null or _next is not null").select(
+        "band", "key", F.count("*").over(Window.partitionBy("band")).alias("n")
+    )
+    near = stored(near, "near")
+    met = near.groupBy("key").agg(F.sum("n").alias("_met"))
+    leaders = near.join(met, "key").groupBy("band").agg(F.max(F.struct("_met", "key"))["key"].alias("leader"))
+    return near.join(leaders, "band").select("band", "key", "n", "leader")
 
 
 def alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -170,16 +183,69 @@ def line_components(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Da
 
 
 def _apart(found: DataFrame, texts: DataFrame, first: DataFrame) -> DataFrame:
-    """Pairs of a bucket in different components that were not checked against the leader."""
-    ids = texts.join(first, texts.id == first.node, "left").select(
-        "key", F.coalesce("root", "id").alias("root")
+    """Pairs ``a, b`` of lines in different components that may be alike, from all buckets with more than one.
+
+    Lines of a small bucket are paired as they are, a few pairs for each; those of larger ones by rare shingles.
+    """
+    lines = texts.join(first, texts.id == first.node, "left").select(
+        "key", "id", "line", "size", F.coalesce("root", "id").alias("root")
+    )
+    members = found.join(lines.select("key", "root"), "key")
+    mixed = members.groupBy("band").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x != _y")
+    members = stored(members.join(mixed.select("band"), "band", "left_semi"), "apart")
+    few = members.where((F.col("n") <= FEW) & (F.col("key") != F.col("leader")))
+    left = few.select("band", F.col("key").alias("a"), F.col("root").alias("_r"))
+    right = few.select("band", F.col("key").alias("b"), F.col("root").alias("_s"))
+    near = left.join(right, "band").where("a < b and _r != _s").select("a", "b")
+    many = members.where(F.col("n") > FEW).select("key").distinct()
+    return near.unionByName(_by_rare_shingles(lines.join(many, "key", "left_semi"))).distinct()
+
+
+def _by_rare_shingles(lines: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of keys, among them all alike lines of different ``root``.
+
+    The shingles of a line are ranked from the most frequent on, in one order for all lines. What two lines have in
+    common stands, in both, no later than the rarest shingle they share, so its smaller rank bounds their
+    overlap, and only ranks that can make up ``ALIKE`` in ``OF`` are kept. Of the lines that share a
+    shingle, those of its most frequent component are not paired with each other, and the others meet only lines
+    of a size that their rank allows.
+    """
+    lines = stored(lines, "lines")
+    spread = lines.select("id", "size", F.explode(F.array_distinct(shingles(F.col("line")))).alias("shingle"))
+    often = spread.groupBy("shingle").agg(F.count("*").alias("_n")).where("_n > 1")
+    order = Window.partitionBy("id").orderBy(F.desc("_n"), "shingle")
+    ranked = (
+        spread.join(often, "shingle")
+        .withColumn("rank", F.row_number().over(order))
+        .where(OF * F.col("rank") >= ALIKE * F.col("size"))
+        .select("shingle", "id", "rank")
+    )
+    ranked = stored(ranked.join(lines.select("id", "key", "size", "root"), "id"), "ranked")
+    by_root = ranked.groupBy("shingle", "root").agg(F.count("*").alias("_n"))
+    most = by_root.groupBy("shingle").agg(F.max(F.struct("_n", "root"))["root"].alias("most"), F.count("*").alias("_r"))
+    ranked = ranked.join(most.where("_r > 1").drop("_r"), "shingle")
+
+    def side(key: str, size: str, rank: str, root: str) -> DataFrame:
+        names = {"key": key, "size": size, "rank": rank, "root": root}
+        return ranked.select("shingle", "most", *[F.col(old).alias(new) for old, new in names.items()])
+
+    def level(size: Column) -> Column:
+        return F.floor(F.log(size) * LEVELS)
+
+    # the sizes that a line can be alike to if it shares no rarer shingle: they are part of the key
+    least = F.ceil(F.col("_n") * ALIKE / OF)
+    greatest = F.floor(F.col("_i") * (OF + ALIKE) / ALIKE - F.col("_n"))
+    left = side("a", "_n", "_i", "_r").where("_r != most").drop("most")
+    left = left.select("*", F.explode(F.sequence(level(least), level(F.greatest(least, greatest)))).alias("level"))
+    right = side("b", "_m", "_j", "_s").withColumn("level", level(F.col("_m")))
+    once = (F.col("_s") == F.col("most")) | (F.col("a") < F.col("b"))
+    enough = (OF + ALIKE) * F.least("_i", "_j") >= ALIKE * (F.col("_n") + F.col("_m"))
+    return (
+        left.join(right, ["shingle", "level"])
+        .where((F.col("_r") != F.col("_s")) & once & enough)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .where("a != b")
     )
-    members = found.join(ids, "key")
-    mixed = members.groupBy("band").agg(F.min("root").alias("_x"), F.max("root").alias("_y"))
-    members = members.join(mixed.where("_x != _y").select("band"), "band").where("key != leader")
-    left = members.select("band", F.col("key").alias("a"), F.col("root").alias("_r"))
-    right = members.select("band", F.col("key").alias("b"), F.col("root").alias("_s"))
-    return left.join(right, "band").where("a < b and _r != _s").select("a", "b").distinct()
 
 
 def keyed_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
