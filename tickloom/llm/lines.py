@@ -94,27 +94,25 @@ def banded(lines: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     longest = (SHORT - 1) * OF // ALIKE
     most = SUBSET + longest * (OF - ALIKE) // OF
 
-    def let(value: Column, body) -> Column:
-        return F.get(F.transform(F.array(value), body), F.lit(0))
-
-    def cut(v: Column) -> Column:
-        """Bands of sorted hashes: marks are sorted in among them, so their places say where parts begin."""
-        both = F.struct(F.concat(v, F.slice(v, 1, rows)).alias("v"), F.sort_array(F.concat(v, marks)).alias("w"))
-        return let(both, lambda p: F.transform(marks, lambda mark, t: F.xxhash64(
-            t, F.slice(p["v"], (F.array_position(p["w"], mark) - t).cast("int"), F.lit(rows))
-        )))
-
-    def sketch(v: Column) -> Column:
-        taken = F.least(F.size(v), F.floor(F.size(v) * (OF - ALIKE) / OF).cast("int") + SUBSET)
-        return F.struct(
-            F.when(F.size(v) >= SHORT, cut(v)).alias("_bands"),
-            F.when(F.size(v) <= longest, F.slice(v, F.lit(1), taken)).alias("_small"),
-        )
-
-    made = let(F.sort_array(F.array_distinct(shingles(F.col("line")))), sketch)
-    # what a generator gives is computed once, however many columns are taken from it
-    once = lines.select("key", F.inline(F.array(made)))
-    parts = [F.get("_bands", F.lit(t)).alias(f"_b{t}") for t in range(bands)]
+    # What a generator gives is computed once, however many columns are taken from it. Outside of functions
+    # over arrays, sorting and searching are compiled for longs.
+    v = F.sort_array(F.array_distinct(shingles(F.col("line"))))
+    once = lines.select("key", F.inline(F.array(F.struct(v.alias("v")))))
+    # marks are sorted in among the hashes, so their places say where parts begin
+    long = F.size("v") >= SHORT
+    taken = F.least(F.size("v"), F.floor(F.size("v") * (OF - ALIKE) / OF).cast("int") + SUBSET)
+    sketch = F.struct(
+        F.when(long, F.concat("v", F.slice("v", 1, rows))).alias("_v"),
+        F.when(long, F.sort_array(F.concat(F.col("v"), marks))).alias("_w"),
+        F.when(F.size("v") <= longest, F.slice("v", F.lit(1), taken)).alias("_small"),
+    )
+    once = once.select("key", F.inline(F.array(sketch)))
+
+    def cut(t: int) -> Column:
+        start = (F.array_position("_w", F.get(marks, F.lit(t))) - t).cast("int")
+        return F.when(F.col("_w").isNotNull(), F.xxhash64(F.lit(t), F.slice("_v", start, F.lit(rows))))
+
+    parts = [cut(t).alias(f"_b{t}") for t in range(bands)]
     parts += [F.get("_small", F.lit(i)).alias(f"_s{i}") for i in range(most)]
     names = [f"_b{t}" for t in range(bands)] + [f"_s{i}" for i in range(most)]
     once = once.select("key", *parts).groupBy("key").agg(*[F.min(n).alias(n) for n in names])
