@@ -1,6 +1,7 @@
 import random
 
 from llm_brute import WORD, documents, hard_texts, line_keepers, prose
+from pyspark.sql import functions as F
 
 from tickloom.llm import lines
 
@@ -160,3 +161,18 @@ def test_rare_shingles_lose_no_alike_pair(spark):
     }
     assert len(near_pairs) > 400 and near_pairs <= set(found)
     assert all(a < b and a % 5 != b % 5 for a, b in found)
+
+
+def test_compiled_shingles_are_the_same(spark):
+    """Whatever the length, also at the ends of blocks and beyond them, and never as an array that may hold nulls."""
+    rng = random.Random(28)
+    ends = (lines.BLOCK + lines.SHINGLE - 1, lines.COMPILED + lines.SHINGLE - 1)
+    sizes = [0, 1, 7, 8, 9, 2500, *[n + i for n in ends for i in (-1, 0, 1)]]
+    kinds = [("".join(chr(rng.choice([97, 0xE9, 0x4E00, 0x1F600])) for _ in range(n)),) for n in sizes]
+    kinds += [("a" * n,) for n in sizes] + [(None,)]
+    table = spark.createDataFrame(kinds, "line string").where("line is null or line != ' '")
+    both = table.select(lines.shingles(F.col("line")).alias("plain"), lines.compiled_shingles("line").alias("compiled"))
+    assert not both.schema["compiled"].dataType.containsNull
+    rows = both.collect()
+    assert all(r.plain == r.compiled for r in rows)
+    assert max(len(r.compiled) for r in rows[:-1]) > 2 * lines.COMPILED

@@ -39,6 +39,8 @@ SHORT, SUBSET = 40, 3
 FEW = 16
 #: Steps of a line's size, as many for each factor of e.
 LEVELS = 16
+#: Shingles of a line that are hashed in compiled code, in blocks; longer lines give the same hashes more slowly.
+COMPILED, BLOCK = 1024, 64
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -70,6 +72,26 @@ def shingles(line: Column) -> Column:
     return F.get(F.transform(F.array(F.encode(line, "UTF-16BE")), hashed), F.lit(0))
 
 
+def compiled_shingles(line: str) -> Column:
+    """``shingles`` of the column ``line``, spelled out place by place up to ``COMPILED`` of them.
+
+    Spark interprets functions over arrays, for each element; what is spelled out, it compiles. The
+    line's encoding stands in two places that are always needed (``length`` and ``octet_length``), so Spark computes
+    it once per line. No array here may contain nulls by its type: Spark sorts those as objects.
+    """
+    units, width = f"encode({line}, 'UTF-16BE')", 2 * SHINGLE
+
+    def block(first: int) -> Column:
+        places = ", ".join(f"xxhash64(substring({units}, {2 * i + 1}, {width}))" for i in range(first, first + BLOCK))
+        begins = f"length({units}) > {2 * (first + SHINGLE - 1)}" if first else "true"
+        return F.expr(f"case when {begins} then array({places}) else array_repeat(0L, 0) end")
+
+    count = F.expr(f"greatest(length({units}) div 2 - {SHINGLE - 1}, 1)").cast("int")
+    short = F.expr(f"greatest(length({units}), octet_length({units})) <= {2 * (COMPILED + SHINGLE - 1)}")
+    blocks = F.concat(*[block(first) for first in range(0, COMPILED, BLOCK)])
+    return F.when(short, F.slice(blocks, F.lit(1), count)).otherwise(shingles(F.col(line)))
+
+
 def subsets(smallest: Column) -> Column:
     """A hash for each subset of ``SUBSET`` of these sorted hashes, or one of them all if there are no more."""
 
@@ -94,26 +116,26 @@ def banded(lines: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     longest = (SHORT - 1) * OF // ALIKE
     most = SUBSET + longest * (OF - ALIKE) // OF
 
-    # What a generator gives is computed once, however many columns are taken from it. Outside of functions
-    # over arrays, sorting and searching are compiled for longs.
-    v = F.sort_array(F.array_distinct(shingles(F.col("line"))))
-    once = lines.select("key", F.inline(F.array(F.struct(v.alias("v")))))
+    # Spark computes an expensive column once if later ones use it several times. With a function over an
+    # array, short as it is, a step stays out of the one method of a whole stage, which the JVM leaves uncompiled if it is long.
+    once = lines.select("key", F.sort_array(F.array_distinct(compiled_shingles("line"))).alias("v"))
     # marks are sorted in among the hashes, so their places say where parts begin
     long = F.size("v") >= SHORT
     taken = F.least(F.size("v"), F.floor(F.size("v") * (OF - ALIKE) / OF).cast("int") + SUBSET)
-    sketch = F.struct(
+    once = once.select(
+        "key",
         F.when(long, F.concat("v", F.slice("v", 1, rows))).alias("_v"),
         F.when(long, F.sort_array(F.concat(F.col("v"), marks))).alias("_w"),
-        F.when(F.size("v") <= longest, F.slice("v", F.lit(1), taken)).alias("_small"),
+        F.when(F.size("v") <= longest, F.filter("v", lambda _, i: i < taken)).alias("_small"),
     )
-    once = once.select("key", F.inline(F.array(sketch)))
 
     def cut(t: int) -> Column:
         start = (F.array_position("_w", F.get(marks, F.lit(t))) - t).cast("int")
         return F.when(F.col("_w").isNotNull(), F.xxhash64(F.lit(t), F.slice("_v", start, F.lit(rows))))
 
     parts = [cut(t).alias(f"_b{t}") for t in range(bands)]
-    parts += [F.get("_small", F.lit(i)).alias(f"_s{i}") for i in range(most)]
+    least = F.filter("_small", lambda _, i: i < 1)
+    parts += [F.get("_small" if i else least, F.lit(i)).alias(f"_s{i}") for i in range(most)]
     names = [f"_b{t}" for t in range(bands)] + [f"_s{i}" for i in range(most)]
     once = once.select("key", *parts).groupBy("key").agg(*[F.min(n).alias(n) for n in names])
     smallest = F.array_compact(F.array(*names[bands:]))
